@@ -23,10 +23,12 @@ def haversine_m(
     """Great-circle distance in metres; NULL if any coordinate is NULL."""
     half_dlat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
     half_dlon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
-    h = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
-    # antipodal points can push h a rounding error above one; least() would
-    # also hide a NULL coordinate, hence the CASE
-    return F.lit(2.0 * earth_radius_m) * F.asin(F.sqrt(F.when(h > 1.0, F.lit(1.0)).otherwise(h)))
+    h = F.pow(half_dlat, F.lit(2.0)) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(half_dlon, F.lit(2.0))
+    # antipodal points can push h a rounding error above one; least() alone
+    # would turn a NULL coordinate into a distance
+    metres = F.lit(2.0 * earth_radius_m) * F.asin(F.least(F.sqrt(h), F.lit(1.0)))
+    known = lon1.isNotNull() & lat1.isNotNull() & lon2.isNotNull() & lat2.isNotNull()
+    return F.when(known, metres)
 
 
 def within_m(lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius_m: float) -> Column:

@@ -49,15 +49,21 @@ _TRAIN_ORDER = [
 ]
 
 
+def type_train(raw: DataFrame, lenient: bool = False) -> DataFrame:
+    """Typed training rows without an id."""
+    price = F.col("money_room").try_cast("double") if lenient else F.col("money_room").cast("double")
+    address = [c for c in ROW_ADDRESS if c in raw.columns]
+    return raw.select(price.alias("target_price"), *_listing(lenient), *address)
+
+
 def stage_train(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """Training listings. They carry no id, so the row number in the order of
     building and address becomes one. The result scans a stored table.
 
     ``lenient`` turns values of the wrong type into NULL instead of an error.
     """
-    price = F.col("money_room").try_cast("double") if lenient else F.col("money_room").cast("double")
+    staged = type_train(raw, lenient)
     address = [c for c in ROW_ADDRESS if c in raw.columns]
-    staged = raw.select(price.alias("target_price"), *_listing(lenient), *address)
     order = [F.col(c).asc_nulls_last() for c in [*_TRAIN_ORDER, *address]]
     numbered = global_row_number(staged, order, "_number", "train")
     return numbered.withColumn("id", F.col("_number").cast("string")).select(*_TRAIN_COLUMNS)
