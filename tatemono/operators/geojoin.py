@@ -116,21 +116,16 @@ def nearest_within(
     x, y = right_point
 
     # one row per place: copies and rows that lose every tie go before any join
-    places = scratch.store(
-        right.where(valid_point(F.col(x), F.col(y)))
-        .groupBy(x, y)
-        .agg(F.min(F.struct(*payload)).alias("_right")),
-        "places",
+    places = (
+        right.where(valid_point(F.col(x), F.col(y))).groupBy(x, y).agg(F.min(F.struct(*payload)).alias("_right"))
     )
+    listed = scratch.store(_in_reached_cells(places, right_point, grid), "places")
     searchers = _in_cell(left.select(*keys, *left_point), left_point, grid)
-    listed = _in_reached_cells(places, right_point, grid)
     per_cell = listed.groupBy(*CELL).agg(
         F.count(F.lit(1)).alias("_points"), F.sum(scratch.row_bytes(listed)).alias("_bytes")
     )
     load = per_cell.agg(
-        F.max("_points").alias("most"),
-        F.sum("_bytes").alias("bytes"),
-        F.count(F.when(F.col("_points") > cell_points, True)).alias("crowded"),
+        F.sum("_bytes").alias("bytes"), F.count(F.when(F.col("_points") > cell_points, True)).alias("crowded")
     ).first()
     small = (load["bytes"] or 0) <= scratch.BROADCAST_BYTES
 
@@ -143,6 +138,7 @@ def nearest_within(
         *keys, _distance(left_point, right_point).alias(distance), "_right"
     )
     if load["crowded"]:
+        places = scratch.store(listed.drop(*CELL).distinct(), "crowded-places")
         tree = _PointTree(places, right_point, grid, node_points, slice_rows)
         found = found.unionByName(
             tree.search(searchers.join(crowded, CELL, "left_semi").distinct(), keys, left_point).select(

@@ -15,6 +15,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tatemono")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
