@@ -1,0 +1,79 @@
+"""Column functions on hand-made rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tatemono import functions as fn
+
+
+def values(spark, column, rows, schema):
+    return [r[0] for r in spark.createDataFrame(rows, schema).select(column).collect()]
+
+
+def test_area_falls_back_to_the_middle_of_both_bounds(spark):
+    rows = [(50.0, 1.0, 2.0), (None, 40.0, 60.0), (None, 40.0, None), (None, None, 60.0), (None, None, None), (0.0, 1.0, 2.0)]
+    area = fn.area_recover(F.col("a"), F.col("lo"), F.col("hi"))
+    assert values(spark, area, rows, "a double, lo double, hi double") == [50.0, 50.0, None, None, None, 0.0]
+
+
+def test_addr_group_counts_characters_not_bytes(spark):
+    address = "東京都港区芝公園四丁目二番八号"
+    wide = "𠮷野家𠮷野家𠮷野家𠮷野家𠮷野家"
+    assert values(spark, fn.addr_group(F.col("a")), [(address,), (wide,), ("short",), (None,)], "a string") == [
+        address[:12], wide[:12], "short", None,
+    ]
+
+
+def test_age_in_years_is_exact_to_the_month(spark):
+    age = fn.age_years(F.col("t"), F.col("b"))
+    rows = [(202401, 202312), (202312, 202401), (202407, 200001), (202401, None), (None, 200001)]
+    assert values(spark, age, rows, "t int, b int") == [1 / 12, -1 / 12, 24.5, None, None]
+    assert dict(spark.createDataFrame(rows, "t int, b int").select(age.alias("x")).dtypes) == {"x": "double"}
+
+
+def test_station_is_recovered_only_if_missing_or_masked(spark):
+    rows = [("＊＊＊＊", "near"), ("****", "near"), (None, "near"), ("芝公園", "near"), ("＊＊＊＊", None), ("＊＊＊", "near")]
+    name = fn.station_recover(F.col("s"), F.col("n"))
+    assert values(spark, name, rows, "s string, n string") == ["near", "****", "near", "芝公園", None, "＊＊＊"]
+
+
+def test_walk_minutes_become_metres(spark):
+    rows = [(5.0, 123.0), (None, 123.0), (0.0, 123.0), (None, None)]
+    assert values(spark, fn.walk_recover(F.col("w"), F.col("d")), rows, "w double, d double") == [400.0, 123.0, 0.0, None]
+
+
+def test_growth_rate_and_unit_price_survive_zero(spark):
+    rows = [(110.0, 100.0), (110.0, 0.0), (None, 100.0), (110.0, None)]
+    schema = "a double, b double"
+    assert values(spark, fn.growth_rate(F.col("a"), F.col("b")), rows, schema) == [pytest.approx(0.1), None, None, None]
+    assert values(spark, fn.unit_price(F.col("a"), F.col("b")), rows, schema) == [pytest.approx(1.1), None, None, None]
+    assert values(spark, fn.growth_rate(F.col("a"), F.col("b")), [(7, 4)], "a int, b int") == [0.75]
+
+
+def test_interaction_is_a_product(spark):
+    assert values(spark, fn.interaction(F.col("a"), F.col("b")), [(3.0, 2.0), (None, 2.0)], "a double, b double") == [6.0, None]
+
+
+def test_haversine_known_distances(spark):
+    rows = [(0.0, 0.0, 0.0, 90.0), (0.0, 0.0, 180.0, 0.0), (179.5, 0.0, -179.5, 0.0), (1.0, 2.0, 1.0, 2.0), (None, 0.0, 0.0, 0.0)]
+    d = fn.haversine_m(*[F.col(c) for c in "abcd"])
+    quarter = 6371008.8 * 3.141592653589793 / 2
+    got = values(spark, d, rows, "a double, b double, c double, d double")
+    assert got[:4] == [pytest.approx(quarter), pytest.approx(2 * quarter), pytest.approx(quarter / 90), 0.0]
+    assert got[4] is None
+
+
+def test_within_is_inclusive(spark):
+    d = fn.haversine_m(F.lit(0.0), F.lit(0.0), F.lit(0.03), F.lit(0.01))
+    metres = spark.range(1).select(d).first()[0]
+    near = fn.within_m(F.lit(0.0), F.lit(0.0), F.lit(0.03), F.lit(0.01), metres)
+    assert spark.range(1).select(near).first()[0] is True
+
+
+def test_wkt_round_trip_and_rejects_other_text(spark):
+    rows = [(139.7671248, 35.6812362), (-1e-7, 1.5e10), (0.0, -90.0), (None, 1.0)]
+    text = fn.point_wkt(F.col("x"), F.col("y"))
+    df = spark.createDataFrame(rows, "x double, y double").withColumn("t", text)
+    assert [tuple(r) for r in df.select(fn.wkt_lon(F.col("t")), fn.wkt_lat(F.col("t"))).collect()] == [*rows[:3], (None, None)]
+    odd = [("point(1 2)",), ("POINT (1 2)",), ("LINESTRING(1 2, 3 4)",), ("POINT(1)",), ("",)]
+    assert values(spark, fn.wkt_lon(F.col("t")), odd, "t string") == [None, 1.0, None, None, None]
