@@ -69,12 +69,11 @@ def radius_join(
 ) -> DataFrame:
     """All pairs at most ``radius_m`` apart, with their distance.
 
-    Column names of the two sides must differ. Both sides are read more than
-    once; pass stored tables if they are expensive.
+    Column names of the two sides must differ.
     """
     grid = Grid(radius_m)
     cells = _in_cell(left, left_point, grid)
-    listed = _in_reached_cells(right, right_point, grid)
+    listed = scratch.store(_in_reached_cells(right, right_point, grid), "listed")
     small = scratch.measure(listed).broadcastable
     pairs = small_or_spread_join(cells, listed, CELL, left_point, right_point, small, slice_rows)
     return (
@@ -101,8 +100,7 @@ def nearest_within(
 
     A key with several points takes the best distance over all of them. Equal
     distances are decided by ``tiebreak``, then by the other right columns.
-    Keys without a match are absent. ``left`` is read more than once; pass a
-    stored table if it is expensive.
+    Keys without a match are absent.
 
     Cells that list few points are joined directly. In the others a left point
     searches a tree of right-hand points level by level, and keeps only nodes
@@ -130,15 +128,18 @@ def nearest_within(
     small = (load["bytes"] or 0) <= scratch.BROADCAST_BYTES
 
     if load["crowded"]:
+        searchers = scratch.store(searchers, "searchers")
         crowded = scratch.store(per_cell.where(F.col("_points") > cell_points).select(*CELL), "crowded")
-        direct = listed.join(crowded, CELL, "left_anti")
+        direct = scratch.store(listed.join(crowded, CELL, "left_anti"), "direct")
     else:
         direct = listed
     found = small_or_spread_join(searchers, direct, CELL, left_point, right_point, small, slice_rows).select(
         *keys, _distance(left_point, right_point).alias(distance), "_right"
     )
     if load["crowded"]:
-        places = scratch.store(listed.drop(*CELL).distinct(), "crowded-places")
+        places = scratch.store(
+            listed.join(crowded, CELL, "left_semi").drop(*CELL).distinct(), "crowded-places"
+        )
         tree = _PointTree(places, right_point, grid, node_points, slice_rows)
         found = found.unionByName(
             tree.search(searchers.join(crowded, CELL, "left_semi").distinct(), keys, left_point).select(
@@ -159,7 +160,7 @@ def nearest_within(
 
 class _PointTree:
     """Grid cells cut into 4 x 4 again and again, with the box of the points
-    in each node, as one stored table per use.
+    in each node, as a stored table.
 
     A search keeps, per left point, the nodes whose nearest possible place is
     not beyond the farthest possible place of another node or the radius.
@@ -201,7 +202,9 @@ class _PointTree:
         # the first level where every node is small; the last one otherwise,
         # where only points a few millimetres apart still share a node
         self.depth = next((lv for lv in range(_TREE_LEVELS) if most[lv] <= node_points), _TREE_LEVELS)
-        self.leaves = placed.withColumns(self._node_of(F.lit(self.depth))).drop("_level_lon")
+        self.leaves = scratch.store(
+            placed.withColumns(self._node_of(F.lit(self.depth))).drop("_level_lon"), "leaves"
+        )
         self.small = scratch.measure(self.leaves).broadcastable
 
     @staticmethod
@@ -281,8 +284,6 @@ class _PointTree:
         return pairs.withColumn("_d", _distance(point, self.point))
 
     def _join(self, left: DataFrame, right: DataFrame, on: list[str], left_by: list[str], right_by: list[str]) -> DataFrame:
-        if not self.small:
-            left = scratch.store(left, "search")
         return small_or_spread_join(left, right, on, left_by, right_by, self.small, self.slice_rows)
 
     def _prune(self, candidates: DataFrame, who: list[str], point: Point, radius: Column) -> DataFrame:

@@ -16,13 +16,19 @@ from pyspark.sql import functions as F
 
 from tatemono.sources import scratch
 
-# Rows of one key that a single task may hold. A table of hot keys then has at
-# most (all rows / SLICE_ROWS) rows, which is what makes it safe to broadcast.
+# Rows of one key that a single task may hold, unless so many keys would count
+# as hot that their table, which is broadcast, could exceed MAX_HOT_KEYS rows.
 SLICE_ROWS = 200_000
+MAX_HOT_KEYS = 250_000
 # Rows with a NULL key never match; they are spread over this many slices.
 NULL_SLICES = 1024
 
 
+def _slice_size(total_rows: int, wanted: int) -> int:
+    """At most ``total / size`` keys hold more rows than the slice size."""
+    return max(wanted, total_rows // MAX_HOT_KEYS)
+
+
 def _slices(count: Column, rows_per_slice: int) -> Column:
     return F.ceil(count / F.lit(rows_per_slice))
 
@@ -51,9 +57,11 @@ def lookup_join(
     a row id; they must not change when a lost task runs again.
     """
     keys = list(keys)
-    if scratch.measure(dim).broadcastable:
+    size = dim.agg(F.sum(scratch.row_bytes(dim)).alias("bytes"), F.sum(count).alias("rows")).first()
+    if (size["bytes"] or 0) <= scratch.BROADCAST_BYTES:
         return rows.join(F.broadcast(dim.drop(count)), keys, "left")
 
+    slice_rows = _slice_size(size["rows"], slice_rows)
     hot = dim.where(F.col(count) > slice_rows).select(*keys, _slices(F.col(count), slice_rows).alias("_slices"))
     dim = dim.drop(count)
     slices = F.coalesce(F.col("_slices"), F.lit(1).cast("long"))
@@ -78,9 +86,10 @@ def spread_join(
     """Inner many-to-many equi-join; a hot key becomes a grid of slices.
 
     Each task then pairs at most about ``slice_rows`` rows of either side of a
-    key. Both sides are read twice, so both should be stored tables.
+    key. Both sides are read three times, so both must be stored tables.
     """
     keys = list(keys)
+    slice_rows = _slice_size(max(left.count(), right.count()), slice_rows)
     left_counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ln"))
     right_counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rn"))
     hot = (
@@ -119,7 +128,8 @@ def small_or_spread_join(
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Inner join: broadcast ``right`` if it was measured as small, else cut
-    hot keys into slices."""
+    hot keys into slices, with ``left`` stored first. ``right`` must be a
+    stored table."""
     if small:
         return left.join(F.broadcast(right), list(keys))
-    return spread_join(left, right, keys, left_by, right_by, slice_rows)
+    return spread_join(scratch.store(left, "spread"), right, keys, left_by, right_by, slice_rows)

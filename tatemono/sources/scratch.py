@@ -22,6 +22,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # A table is broadcast only after its measured size turned out below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
+_RUN = uuid.uuid4().hex
 _own_folder: list[str] = []
 
 
@@ -43,11 +44,18 @@ def shared_folder(spark: SparkSession) -> str:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new scratch table and return a scan of it."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tatemono/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tatemono-{_RUN}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_tables(spark: SparkSession) -> None:
+    """Delete every scratch table of this process, once no result that reads
+    one is needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tatemono-{_RUN}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @dataclass(frozen=True)
 class Size:
     rows: int
@@ -58,18 +66,22 @@ class Size:
         return self.bytes <= BROADCAST_BYTES
 
 
-def _width(field: T.StructField) -> Column:
-    column = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(column), F.lit(0)) + F.lit(16)
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + F.lit(16)
-    return F.lit(16)
+def _width(column: Column, kind: T.DataType) -> Column:
+    slot = F.lit(16)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + slot
+    if isinstance(kind, T.StructType):
+        return sum((_width(column[f.name], f.dataType) for f in kind.fields), slot)
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType)):
+        return F.coalesce(F.size(column), F.lit(0)) * slot + slot
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + slot
+    return slot
 
 
 def row_bytes(df: DataFrame) -> Column:
     """In-memory bytes of a row, on the high side."""
-    return sum((_width(f) for f in df.schema.fields), F.lit(32)).cast("long")
+    return sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(32)).cast("long")
 
 
 def measure(df: DataFrame) -> Size:

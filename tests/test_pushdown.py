@@ -1,0 +1,42 @@
+"""Filters and columns reach the scans; no plan leaves the JVM."""
+
+import re
+
+import pytest
+
+from tatemono import queries
+from tatemono.sources import fixtures
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df, capsys):
+    capsys.readouterr()
+    df.explain("formatted")
+    return capsys.readouterr().out
+
+
+def test_class_filter_and_columns_reach_the_land_scan(spark, capsys):
+    text = plan(queries.land_pivot(spark, SF_DIR), capsys)
+    assert re.search(r"PushedFilters: \[.*EqualTo\(c_mktsegment,HOUSEHOLD\)", text)
+    assert "c_acctbal" not in text and "o_orderpriority" not in text
+
+
+def test_split_filter_and_columns_reach_the_listing_scan(spark, capsys):
+    text = plan(queries.stg_test(spark, SF_DIR), capsys)
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(l_shipdate", text)
+    assert "l_comment" not in text and "l_tax" not in text
+    points = plan(queries.buildings_distinct(spark, SF_DIR), capsys)
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", points)
+    assert schemas and all("l_quantity" not in s and "p_name" not in s for s in schemas)
+
+
+@pytest.mark.parametrize("name", ["q_nearest_station", "q_mart", "q_oof_te", "q_label_encode", "q_median_impute"])
+def test_plans_stay_in_the_jvm_without_nested_loops(spark, capsys, name):
+    text = plan(queries.QUERIES[name](spark, SF_DIR), capsys)
+    assert not re.search(r"Python|NestedLoop|CartesianProduct|Pandas", text)
+
+
+def test_unused_years_are_pruned(spark, capsys):
+    prices = queries.Tables(spark, SF_DIR).land_prices.select("podb_land_price_id", f"price_{fixtures.YEARS[0]}")
+    assert str(fixtures.YEARS[2]) not in re.sub(r"#\d+", "", plan(prices, capsys).split("Functions")[1])
