@@ -13,6 +13,7 @@ import time
 
 from tatemono.queries import QUERIES
 from tatemono.session import local_session
+from tatemono.sources import scratch
 
 HEADLINE = [
     "q_stg_train",
@@ -55,6 +56,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     run(spark, "q_mart", sf_dir)  # start the JVM's compilers and the page cache
     seconds = {name: run(spark, name, sf_dir) for name in names}
+    scratch.remove_tables(spark)
     spark.stop()
     print(
         json.dumps(

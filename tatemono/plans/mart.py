@@ -80,26 +80,20 @@ def nearest_land(
     )
 
 
-def mart(
-    train: DataFrame,
-    test: DataFrame,
-    stations: DataFrame,
-    land_prices: DataFrame,
-    radius_m: float = RADIUS_M,
-    years: Sequence[int] = YEARS,
-) -> DataFrame:
-    """The feature mart, one row per listing, from the staged tables.
+def listing_points(base: DataFrame) -> DataFrame:
+    """Stored table of the distinct building points of each table, with the
+    number of listings at each."""
+    counted = base.groupBy("building_id", "data_type", "lon", "lat").agg(F.count(F.lit(1)).alias("listings"))
+    return scratch.store(counted, "points")
+
 
-    Everything that depends on the building alone is worked out once per
-    building and brought back in one join, so that the listings are shuffled
-    once at most.
+def join_models(base: DataFrame, points: DataFrame, station: DataFrame, land: DataFrame) -> DataFrame:
+    """The feature mart, one row per listing.
+
+    Everything that depends on the building alone is brought together per
+    building first and joined once, so that the listings are shuffled once at
+    most.
     """
-    base = base_records(train, test)
-    points = scratch.store(
-        base.groupBy("building_id", "data_type", "lon", "lat").agg(F.count(F.lit(1)).alias("listings")), "buildings"
-    )
-    station = nearest_station(points, stations, radius_m)
-    land = nearest_land(points.select("building_id", "lon", "lat").distinct(), land_prices, radius_m, years)
     per_building = scratch.store(
         points.where(F.col("building_id").isNotNull())
         .groupBy("building_id", "data_type")
@@ -116,3 +110,19 @@ def mart(
             "final_walk_dist": walk_recover(F.col("walk_dist_raw"), F.col("recovered_walk_dist")),
         }
     ).select(*MART_COLUMNS)
+
+
+def mart(
+    train: DataFrame,
+    test: DataFrame,
+    stations: DataFrame,
+    land_prices: DataFrame,
+    radius_m: float = RADIUS_M,
+    years: Sequence[int] = YEARS,
+) -> DataFrame:
+    """The feature mart from the staged tables."""
+    base = base_records(train, test)
+    points = listing_points(base)
+    station = nearest_station(points, stations, radius_m)
+    land = nearest_land(points.select("building_id", "lon", "lat").distinct(), land_prices, radius_m, years)
+    return join_models(base, points, station, land)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tatemono.sources.readers import ROW_ADDRESS, with_row_address
 
@@ -93,27 +94,22 @@ def project(df: DataFrame, expressions: dict[str, str], *carry: str) -> DataFram
 def raw_tables(spark: SparkSession, sf_dir: str, planted: bool = False) -> RawTables:
     """Raw tables over a driver folder; ``planted`` swaps in a learnable
     target for model checks."""
-    listings = with_row_address(table(spark, sf_dir, "lineitem")).join(
-        table(spark, sf_dir, "part"), on=_equal("l_partkey", "p_partkey")
-    )
+    lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    of_part = F.col("l_partkey") == F.col("p_partkey")
+    train = with_row_address(lines).where(IS_TRAIN).join(parts, of_part)
+    test = lines.where(f"not ({IS_TRAIN})").join(parts, of_part)
     stations = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), on=_equal("s_nationkey", "n_nationkey")
+        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
     return RawTables(
-        train=project(listings.where(IS_TRAIN), PLANTED_TRAIN if planted else TRAIN, *ROW_ADDRESS),
-        test=project(listings.where(f"not ({IS_TRAIN})"), TEST),
+        train=project(train, PLANTED_TRAIN if planted else TRAIN, *ROW_ADDRESS),
+        test=project(test, TEST),
         stations=project(stations, STATIONS),
         land_points=project(table(spark, sf_dir, "customer"), LAND_POINTS),
         land_series=project(table(spark, sf_dir, "orders"), LAND_SERIES),
     )
 
 
-def _equal(left: str, right: str):
-    from pyspark.sql import functions as F
-
-    return F.col(left) == F.col(right)
-
-
 def _select(expressions: dict[str, str], source: str) -> str:
     columns = ",\n  ".join(f"{text} as {name}" for name, text in expressions.items())
     return f"select\n  {columns}\nfrom {source}"

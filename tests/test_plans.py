@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tatemono.operators import encode
+from tatemono.plans import jobs
 from tatemono.plans import mart as mart_plan
 from tatemono.plans import score as score_plan
 from tatemono.plans import staging
@@ -215,3 +217,58 @@ def test_scratch_store_and_measure(spark):
     size = scratch.measure(stored)
     assert size.rows == 4 and size.bytes > 100 and size.broadcastable
     assert scratch.measure(stored.where("id > 9")).bytes == 0
+
+
+def test_runs_from_paths_to_paths(spark, tmp_path):
+    raw = fixtures.raw_tables(spark, "/root/testdata/sf0.001")
+    declared = {"train": schemas.TRAIN, "test": schemas.TEST, "stations": schemas.STATIONS}
+    paths = {name: str(tmp_path / name) for name in ("train", "test", "stations", "land_points", "land_series")}
+    for name, schema in declared.items():
+        empty = spark.createDataFrame([], schema)
+        have = getattr(raw, name)
+        have.select(
+            *[F.col(c).cast(empty.schema[c].dataType) if c in have.columns else F.lit(None).cast(empty.schema[c].dataType).alias(c) for c in empty.columns]
+        ).write.parquet(paths[name])
+    raw.land_points.select(
+        "podb_land_price_id", "address", "rlc_index_name", F.expr("concat('POINT(', lon, ' ', lat, ')')").alias("point_land_price")
+    ).write.parquet(paths["land_points"])
+    raw.land_series.write.parquet(paths["land_series"])
+
+    out = str(tmp_path / "models")
+    mart = jobs.build_mart(spark, paths, out, years=fixtures.YEARS, land_class=fixtures.LAND_CLASS)
+    assert mart.columns == mart_plan.MART_COLUMNS and mart.count() == 6000
+    assert mart.where("nearest_land_price is not null").count() > 100
+    assert readers.read_model(spark, f"{out}/int_station_distances").count() == 24
+    prices = jobs.score_mart(spark, f"{out}/fct_ml_ready", str(tmp_path / "csv"), rounds=2, depth=3, interaction_feature=True)
+    written = spark.read.schema("id string, price bigint").csv(str(tmp_path / "csv"))
+    assert written.count() == prices.count() == 1638 and written.where("price is null").count() == 0
+
+
+def test_features_are_the_same_without_broadcasts_and_from_single_encoders(spark, monkeypatch):
+    """A missing address group and one spelled like the label of a missing
+    one share a code but not a mean."""
+    rows = [
+        ("train" if i % 4 else "test", str(i), None if i % 4 == 0 else 1000.0 + 7 * (i % 11), 20.0 + i % 3, 1.0, 5.0, 139.0, 35.0,
+         f"b{i % 5}", "a", [None, "None", "x", "y"][i % 3 if i % 2 else 3], ["s", None][i % 2], "c", 80.0, None, 0.5)
+        for i in range(200)
+    ]
+    mart = scratch.store(
+        spark.createDataFrame(
+            rows,
+            "data_type string, id string, target_price double, house_area double, floor_count double, building_age double,"
+            " lon double, lat double, building_id string, full_address string, addr_group string, station_name string,"
+            " city_name string, final_walk_dist double, nearest_land_price double, land_growth_rate double",
+        ),
+        "mart",
+    )
+    def collected(df):
+        return {(r["data_type"], r["id"]): r for r in df.collect()}
+
+    plain = collected(score_plan.features(mart))
+    single = collected(encode.label_encode(score_plan.target_encoded(mart), score_plan.CATEGORIES, score_plan.ROW_KEY))
+    monkeypatch.setattr(scratch, "BROADCAST_BYTES", -1)
+    assert collected(score_plan.features(mart)) == plain
+    assert len(plain) == 200
+    for key, row in plain.items():
+        for c in ("bldg_te", "addr_te", "station_name_id", "city_name_id", "addr_group_id"):
+            assert row[c] == single[key][c]
