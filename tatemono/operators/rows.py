@@ -41,10 +41,11 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str, name: st
     """
     placed = _range_sorted(df, order, name)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    offsets = scratch.store(
         placed.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")),
+        "offsets",
     )
     number = F.col("_before") + F.col("_pos") + F.lit(1)
     # offsets has one row per range, so never more than the shuffle partitions

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tatemono.functions import age_years, growth_rate, station_recover, walk_recover
 from tatemono.operators.geojoin import nearest_within
 from tatemono.operators.joins import lookup_join
+from tatemono.operators.parallel import side_by_side
 from tatemono.operators.rows import tagged_union
 from tatemono.plans.staging import YEARS
 from tatemono.sources import scratch
@@ -123,6 +124,12 @@ def mart(
     """The feature mart from the staged tables."""
     base = base_records(train, test)
     points = listing_points(base)
-    station = nearest_station(points, stations, radius_m)
-    land = nearest_land(points.select("building_id", "lon", "lat").distinct(), land_prices, radius_m, years)
+    distinct_points = points.select("building_id", "lon", "lat").distinct()
+    station, land = side_by_side(
+        base.sparkSession,
+        [
+            lambda: nearest_station(points, stations, radius_m),
+            lambda: nearest_land(distinct_points, land_prices, radius_m, years),
+        ],
+    )
     return join_models(base, points, station, land)

@@ -55,6 +55,12 @@ class Tables:
         """Typed training rows for queries that need no row number."""
         return staging.type_train(self.raw.train)
 
+    def stored_base(self, *columns: str) -> DataFrame:
+        """Columns of all listings, with the building age among them, as a
+        stored table for operators that read their input several times."""
+        aged = self.base.withColumn("building_age", fn.age_years(F.col("target_ym"), F.col("year_built")))
+        return scratch.store(aged.select("data_type", "id", *columns), "base")
+
     def listings(self) -> DataFrame:
         """Raw listings of both tables."""
         return self.raw.train.unionByName(self.raw.test, allowMissingColumns=True)
@@ -224,15 +230,12 @@ def row_id(spark, sf_dir):
 
 
 def median_impute(spark, sf_dir):
-    base = Tables(spark, sf_dir).base.withColumn(
-        "building_age", fn.age_years(F.col("target_ym"), F.col("year_built"))
-    )
-    done = encode.median_impute(base, ["building_age", "house_area"])
-    return done.select("data_type", "id", "building_age", "house_area")
+    rows = Tables(spark, sf_dir).stored_base("building_age", "house_area")
+    return encode.median_impute(rows, ["building_age", "house_area"])
 
 
 def label_encode(spark, sf_dir):
-    rows = Tables(spark, sf_dir).base.select("data_type", "id", "eki_name_raw", "addr_group")
+    rows = Tables(spark, sf_dir).stored_base("eki_name_raw", "addr_group")
     return encode.label_encode(rows, ["eki_name_raw", "addr_group"], score_plan.ROW_KEY)
 
 
@@ -250,10 +253,8 @@ def _folds(spark, sf_dir, k):
 
 
 def _encoded(spark, sf_dir):
-    base = Tables(spark, sf_dir).base.withColumn(
-        "building_age", fn.age_years(F.col("target_ym"), F.col("year_built"))
-    )
-    encoded = score_plan.target_encoded(base)
+    rows = Tables(spark, sf_dir).stored_base("target_price", "house_area", "building_age", "building_id", "addr_group")
+    encoded = score_plan.target_encoded(rows)
     return encoded.select("data_type", "id", "fold", "bldg_te", _unit_mean("addr_te"))
 
 
