@@ -61,7 +61,7 @@ def lookup_join(
     if (size["bytes"] or 0) <= scratch.BROADCAST_BYTES:
         return rows.join(F.broadcast(dim.drop(count)), keys, "left")
 
-    slice_rows = _slice_size(size["rows"], slice_rows)
+    slice_rows = _slice_size(size["rows"] or 0, slice_rows)
     hot = dim.where(F.col(count) > slice_rows).select(*keys, _slices(F.col(count), slice_rows).alias("_slices"))
     dim = dim.drop(count)
     slices = F.coalesce(F.col("_slices"), F.lit(1).cast("long"))

@@ -125,12 +125,12 @@ select * replace (
   coalesce(house_area, (select median(house_area) from aged)) as house_area)
 from aged""",
     "folded": f"select *, case when data_type = 'train' then {_fold('id', 3)} end as fold from imputed",
-    "train_rows": "select *, target_price / nullif(house_area, 0) as up_temp from folded where data_type = 'train'",
+    "train_rows": "select *, target_price / nullif(house_area, 0) as unit_price from folded where data_type = 'train'",
     "bldg_oof": _per_fold("building_id", "target_price"),
-    "addr_oof": _per_fold("addr_group", "up_temp"),
+    "addr_oof": _per_fold("addr_group", "unit_price"),
     "bldg_all": f"select building_id, {_mean('target_price')} as te from train_rows group by building_id",
-    "addr_all": f"select addr_group, {_mean('up_temp')} as te from train_rows group by addr_group",
-    "global_means": f"select {_mean('target_price')} as price, {_mean('up_temp')} as up from train_rows",
+    "addr_all": f"select addr_group, {_mean('unit_price')} as te from train_rows group by addr_group",
+    "global_means": f"select {_mean('target_price')} as price, {_mean('unit_price')} as up from train_rows",
     "encoded_train": """
 select f.data_type, f.id, f.fold, coalesce(b.te, g.price) as bldg_te, coalesce(a.te, g.up) as addr_te
 from train_rows f cross join global_means g

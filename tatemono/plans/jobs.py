@@ -39,13 +39,13 @@ def build_mart(
     base = mart_plan.base_records(train, test)
     points = mart_plan.listing_points(base)
     station = sinks.write_model(
-        mart_plan.nearest_station(points, stations, radius_m), f"{out}/int_station_distances"
+        mart_plan.nearest_station(points, stations, radius_m), f"{out}/nearest_station"
     )
     land = sinks.write_model(
         mart_plan.nearest_land(points.select("building_id", "lon", "lat").distinct(), land_prices, radius_m, years),
-        f"{out}/int_property_land_values",
+        f"{out}/nearest_land",
     )
-    return sinks.write_model(mart_plan.join_models(base, points, station, land), f"{out}/fct_ml_ready")
+    return sinks.write_model(mart_plan.join_models(base, points, station, land), f"{out}/mart")
 
 
 def score_mart(spark: SparkSession, mart: str, out: str, single_file: bool = False, **settings) -> DataFrame:

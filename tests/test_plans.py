@@ -238,8 +238,8 @@ def test_runs_from_paths_to_paths(spark, tmp_path):
     mart = jobs.build_mart(spark, paths, out, years=fixtures.YEARS, land_class=fixtures.LAND_CLASS)
     assert mart.columns == mart_plan.MART_COLUMNS and mart.count() == 6000
     assert mart.where("nearest_land_price is not null").count() > 100
-    assert readers.read_model(spark, f"{out}/int_station_distances").count() == 24
-    prices = jobs.score_mart(spark, f"{out}/fct_ml_ready", str(tmp_path / "csv"), rounds=2, depth=3, interaction_feature=True)
+    assert readers.read_model(spark, f"{out}/nearest_station").count() == 24
+    prices = jobs.score_mart(spark, f"{out}/mart", str(tmp_path / "csv"), rounds=2, depth=3, interaction_feature=True)
     written = spark.read.schema("id string, price bigint").csv(str(tmp_path / "csv"))
     assert written.count() == prices.count() == 1638 and written.where("price is null").count() == 0
 
