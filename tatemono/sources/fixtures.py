@@ -6,7 +6,7 @@ text serves the Spark plan and the reference query.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,15 +74,6 @@ LAND_SERIES = {
 }
 
 
-@dataclass(frozen=True)
-class RawTables:
-    train: DataFrame
-    test: DataFrame
-    stations: DataFrame
-    land_points: DataFrame
-    land_series: DataFrame
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -91,23 +82,48 @@ def project(df: DataFrame, expressions: dict[str, str], *carry: str) -> DataFram
     return df.selectExpr(*[f"{text} as {name}" for name, text in expressions.items()], *carry)
 
 
+class RawTables:
+    """The raw tables over a driver folder; a file is opened when a table that
+    needs it is first asked for. ``planted`` swaps in a learnable target for
+    model checks."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, planted: bool = False):
+        self._read = lambda name: table(spark, sf_dir, name)
+        self._train_columns = PLANTED_TRAIN if planted else TRAIN
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        return self._read("lineitem")
+
+    @cached_property
+    def _parts(self) -> DataFrame:
+        return self._read("part")
+
+    @cached_property
+    def train(self) -> DataFrame:
+        lines = with_row_address(self._lines).where(IS_TRAIN)
+        return project(lines.join(self._parts, F.col("l_partkey") == F.col("p_partkey")), self._train_columns, *ROW_ADDRESS)
+
+    @cached_property
+    def test(self) -> DataFrame:
+        return project(self._lines.where(f"not ({IS_TRAIN})").join(self._parts, F.col("l_partkey") == F.col("p_partkey")), TEST)
+
+    @cached_property
+    def stations(self) -> DataFrame:
+        of_nation = F.col("s_nationkey") == F.col("n_nationkey")
+        return project(self._read("supplier").join(self._read("nation"), of_nation), STATIONS)
+
+    @cached_property
+    def land_points(self) -> DataFrame:
+        return project(self._read("customer"), LAND_POINTS)
+
+    @cached_property
+    def land_series(self) -> DataFrame:
+        return project(self._read("orders"), LAND_SERIES)
+
+
 def raw_tables(spark: SparkSession, sf_dir: str, planted: bool = False) -> RawTables:
-    """Raw tables over a driver folder; ``planted`` swaps in a learnable
-    target for model checks."""
-    lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    of_part = F.col("l_partkey") == F.col("p_partkey")
-    train = with_row_address(lines).where(IS_TRAIN).join(parts, of_part)
-    test = lines.where(f"not ({IS_TRAIN})").join(parts, of_part)
-    stations = table(spark, sf_dir, "supplier").join(
-        table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    return RawTables(
-        train=project(train, PLANTED_TRAIN if planted else TRAIN, *ROW_ADDRESS),
-        test=project(test, TEST),
-        stations=project(stations, STATIONS),
-        land_points=project(table(spark, sf_dir, "customer"), LAND_POINTS),
-        land_series=project(table(spark, sf_dir, "orders"), LAND_SERIES),
-    )
+    return RawTables(spark, sf_dir, planted)
 
 
 def _select(expressions: dict[str, str], source: str) -> str:

@@ -189,6 +189,8 @@ def test_sinks_replace_and_write_plain_csv(spark, tmp_path):
     assert readers.read_model(spark, path).count() == 2
     sinks.register_view(spark.range(3), "three_rows")
     assert spark.sql("select count(*) from three_rows").first()[0] == 3
+    assert sinks.save_model_table(spark.range(3), "saved_model").count() == 3
+    spark.sql("drop table saved_model")
     out = str(tmp_path / "submission")
     for _ in range(2):
         sinks.write_submission(spark.createDataFrame([("a", 5), ("b", 7)], "id string, price bigint"), out, single_file=True)
