@@ -159,8 +159,8 @@ def nearest_within(
 
 
 class _PointTree:
-    """Grid cells cut into 4 x 4 again and again, with the box of the points
-    in each node, as a stored table.
+    """Grid cells cut into 4 x 4 again and again; each level is a stored table
+    with the box of the points in each node.
 
     A search keeps, per left point, the nodes whose nearest possible place is
     not beyond the farthest possible place of another node or the radius.
@@ -175,42 +175,45 @@ class _PointTree:
         top = F.lit((1 << (_STEP_BITS * _TREE_LEVELS)) - 1).cast("long")
         row = lat / F.lit(grid.band_deg) - F.floor(lat / F.lit(grid.band_deg))
         column = (level_lon + 180.0) / (F.lit(360.0) / F.col("_width")) - F.col("_cell")
-        placed = (
+        placed = scratch.store(
             _in_cell(places, point, grid)
             .withColumn("_width", grid.cells_in(F.col("_band")))
             .withColumn("_row", F.greatest(F.least(F.floor(row * scale), top), F.lit(0).cast("long")))
             .withColumn("_column", F.greatest(F.least(F.floor(column * scale), top), F.lit(0).cast("long")))
             .withColumn("_level_lon", level_lon)
-            .drop("_width")
+            .drop("_width"),
+            "placed",
         )
-        nodes = (
-            placed.select(
-                *CELL, "_row", "_column", "_level_lon", point[1], F.explode(F.sequence(F.lit(0), F.lit(_TREE_LEVELS))).alias("_level")
-            )
-            .withColumns(self._node_of(F.col("_level")))
-            .groupBy("_level", *CELL, "_row", "_column")
+        # levels are made until every node is small; the last one may keep
+        # nodes whose points are only millimetres apart
+        self.levels: list[DataFrame] = []
+        most = node_points + 1
+        while most > node_points and len(self.levels) <= _TREE_LEVELS:
+            nodes = scratch.store(self._nodes(placed, len(self.levels)), "nodes")
+            self.levels.append(nodes)
+            most = nodes.agg(F.max("_points")).first()[0] or 0
+        self.depth = len(self.levels) - 1
+        self.leaves = placed.withColumns(self._node_of(self.depth)).drop("_level_lon")
+        self.small = scratch.measure(self.leaves).broadcastable
+
+    def _nodes(self, placed: DataFrame, level: int) -> DataFrame:
+        """Count and bounding box of the points in each node of a level."""
+        return (
+            placed.withColumns(self._node_of(level))
+            .groupBy(*CELL, "_row", "_column")
             .agg(
                 F.count(F.lit(1)).alias("_points"),
                 F.min("_level_lon").alias("_west"),
                 F.max("_level_lon").alias("_east"),
-                F.min(point[1]).alias("_south"),
-                F.max(point[1]).alias("_north"),
+                F.min(self.point[1]).alias("_south"),
+                F.max(self.point[1]).alias("_north"),
             )
         )
-        self.nodes = scratch.store(nodes, "nodes")
-        most = {r["_level"]: r["most"] for r in self.nodes.groupBy("_level").agg(F.max("_points").alias("most")).collect()}
-        # the first level where every node is small; the last one otherwise,
-        # where only points a few millimetres apart still share a node
-        self.depth = next((lv for lv in range(_TREE_LEVELS) if most[lv] <= node_points), _TREE_LEVELS)
-        self.leaves = scratch.store(
-            placed.withColumns(self._node_of(F.lit(self.depth))).drop("_level_lon"), "leaves"
-        )
-        self.small = scratch.measure(self.leaves).broadcastable
 
     @staticmethod
-    def _node_of(level: Column) -> dict[str, Column]:
-        shift = (F.lit(_TREE_LEVELS) - level) * _STEP_BITS
-        return {c: F.floor(F.col(c) / F.pow(F.lit(2.0), shift)) for c in ("_row", "_column")}
+    def _node_of(level: int) -> dict[str, Column]:
+        shift = (_TREE_LEVELS - level) * _STEP_BITS
+        return {c: F.shiftright(F.col(c), shift) for c in ("_row", "_column")}
 
     def _at(self, level: int) -> DataFrame:
         """Nodes of a level: the centre of the box and its reach in metres,
@@ -223,7 +226,7 @@ class _PointTree:
             F.radians(F.col("_north") - F.col("_south")) / 2
             + F.cos(F.radians(flattest)) * F.radians(F.col("_east") - F.col("_west")) / 2
         ) + F.lit(1e-6)
-        return self.nodes.where(F.col("_level") == level).select(
+        return self.levels[level].select(
             *CELL,
             "_row",
             "_column",
@@ -238,7 +241,6 @@ class _PointTree:
         radius = F.lit(float(self.grid.radius_m))
         who = [*keys, *point]
         node = [*CELL, "_row", "_column"]
-        bits = 1 << _STEP_BITS
         x, y = self.point
 
         # roots: cells from which some place reaches the cell of the left row
@@ -269,8 +271,8 @@ class _PointTree:
                 .withColumnsRenamed({"_row": "_child_row", "_column": "_child_column"})
                 .withColumns(
                     {
-                        "_row": F.floor(F.col("_child_row") / bits),
-                        "_column": F.floor(F.col("_child_column") / bits),
+                        "_row": F.shiftright("_child_row", _STEP_BITS),
+                        "_column": F.shiftright("_child_column", _STEP_BITS),
                     }
                 )
             )
