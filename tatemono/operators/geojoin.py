@@ -75,7 +75,7 @@ def radius_join(
     cells = _in_cell(left, left_point, grid)
     listed = scratch.store(_in_reached_cells(right, right_point, grid), "listed")
     small = scratch.measure(listed).broadcastable
-    pairs = small_or_spread_join(cells, listed, CELL, left_point, right_point, small, slice_rows)
+    pairs = small_or_spread_join(cells, listed, CELL, small, slice_rows)
     return (
         pairs.withColumn(distance, _distance(left_point, right_point))
         .where(F.col(distance) <= F.lit(float(radius_m)))
@@ -126,6 +126,8 @@ def nearest_within(
         F.sum("_bytes").alias("bytes"), F.count(F.when(F.col("_points") > cell_points, True)).alias("crowded")
     ).first()
     small = (load["bytes"] or 0) <= scratch.BROADCAST_BYTES
+    if not small:
+        searchers = searchers.distinct()
 
     if load["crowded"]:
         searchers = scratch.store(searchers, "searchers")
@@ -133,7 +135,7 @@ def nearest_within(
         direct = scratch.store(listed.join(crowded, CELL, "left_anti"), "direct")
     else:
         direct = listed
-    found = small_or_spread_join(searchers, direct, CELL, left_point, right_point, small, slice_rows).select(
+    found = small_or_spread_join(searchers, direct, CELL, small, slice_rows).select(
         *keys, _distance(left_point, right_point).alias(distance), "_right"
     )
     if load["crowded"]:
@@ -259,7 +261,7 @@ class _PointTree:
         roots = scratch.store(roots, "roots")
         self.small = self.small and scratch.measure(roots).broadcastable
         candidates = (
-            self._join(searchers, roots, CELL, who, ["_from_band", "_from_cell"])
+            self._join(searchers, roots, CELL)
             .drop(*CELL)
             .withColumnsRenamed({f"_from{c}": c for c in CELL})
         )
@@ -277,16 +279,16 @@ class _PointTree:
                 )
             )
             candidates = (
-                self._join(candidates, children, node, who, ["_child_row", "_child_column"])
+                self._join(candidates, children, node)
                 .drop("_row", "_column")
                 .withColumnsRenamed({"_child_row": "_row", "_child_column": "_column"})
             )
             candidates = self._prune(candidates, who, point, radius)
-        pairs = self._join(candidates, self.leaves, node, who, [x, y])
+        pairs = self._join(candidates, self.leaves, node)
         return pairs.withColumn("_d", _distance(point, self.point))
 
-    def _join(self, left: DataFrame, right: DataFrame, on: list[str], left_by: list[str], right_by: list[str]) -> DataFrame:
-        return small_or_spread_join(left, right, on, left_by, right_by, self.small, self.slice_rows)
+    def _join(self, left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        return small_or_spread_join(left, right, on, self.small, self.slice_rows)
 
     def _prune(self, candidates: DataFrame, who: list[str], point: Point, radius: Column) -> DataFrame:
         """Drop nodes that cannot hold the nearest place. A left row has a few

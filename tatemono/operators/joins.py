@@ -75,20 +75,22 @@ def lookup_join(
     return spread.drop("_slices").join(copies.drop("_slices"), [*keys, "_slot"], "left").drop("_slot")
 
 
+def _numbered(df: DataFrame, out: str) -> DataFrame:
+    """Stored table with a number per row. Stored, so that the numbers stay
+    when a task runs again; they tell even exact copies apart."""
+    return scratch.store(df.withColumn(out, F.monotonically_increasing_id()), "spread")
+
+
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_by: Sequence[str],
-    right_by: Sequence[str],
-    slice_rows: int = SLICE_ROWS,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Inner many-to-many equi-join; a hot key becomes a grid of slices.
 
     Each task then pairs at most about ``slice_rows`` rows of either side of a
-    key. Both sides are read three times, so both must be stored tables.
+    key, also if they are copies of one row. Both sides are stored first.
     """
     keys = list(keys)
+    left, right = _numbered(left, "_lrow"), _numbered(right, "_rrow")
     slice_rows = _slice_size(max(left.count(), right.count()), slice_rows)
     left_counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ln"))
     right_counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rn"))
@@ -105,31 +107,24 @@ def spread_join(
     left_slices, right_slices = F.coalesce("_ls", one), F.coalesce("_rs", one)
     left_rows = (
         left.join(F.broadcast(hot), keys, "left")
-        .withColumn("_lslot", _slot(left_by, left_slices))
+        .withColumn("_lslot", _slot(["_lrow"], left_slices))
         .withColumn("_rslot", _every_slot(right_slices))
-        .drop("_ls", "_rs")
+        .drop("_ls", "_rs", "_lrow")
     )
     right_rows = (
         right.join(F.broadcast(hot), keys, "left")
-        .withColumn("_rslot", _slot(right_by, right_slices))
+        .withColumn("_rslot", _slot(["_rrow"], right_slices))
         .withColumn("_lslot", _every_slot(left_slices))
-        .drop("_ls", "_rs")
+        .drop("_ls", "_rs", "_rrow")
     )
     return left_rows.join(right_rows, [*keys, "_lslot", "_rslot"]).drop("_lslot", "_rslot")
 
 
 def small_or_spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    left_by: Sequence[str],
-    right_by: Sequence[str],
-    small: bool,
-    slice_rows: int = SLICE_ROWS,
+    left: DataFrame, right: DataFrame, keys: Sequence[str], small: bool, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Inner join: broadcast ``right`` if it was measured as small, else cut
-    hot keys into slices, with ``left`` stored first. ``right`` must be a
-    stored table."""
+    hot keys into slices."""
     if small:
         return left.join(F.broadcast(right), list(keys))
-    return spread_join(scratch.store(left, "spread"), right, keys, left_by, right_by, slice_rows)
+    return spread_join(left, right, keys, slice_rows)

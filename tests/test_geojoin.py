@@ -78,7 +78,8 @@ def test_radius_join_equals_all_pairs_everywhere(spark, radius):
 
 
 def test_radius_join_with_sliced_hot_cells(spark, never_broadcast):
-    left, right = cloud(3, [(139.7, 35.6)], 120, 0.02), cloud(4, [(139.7, 35.6)], 90, 0.02)
+    left, right = cloud(3, [(139.7, 35.6)], 80, 0.02), cloud(4, [(139.7, 35.6)], 60, 0.02)
+    left, right = left + left[:1] * 40, right + right[:1] * 30  # copies of one place
     got = radius_join(*frames(spark, left, right), 1500.0, slice_rows=7).select("k", "name").collect()
     want = brute_pairs(left, right, 1500.0)
     assert len(got) == len(want) > 1000

@@ -118,9 +118,27 @@ def test_lookup_join_spreads_the_hot_key(spark, never_broadcast):
 
 
 def test_spread_join_equals_plain_join_with_hot_keys_on_both_sides(spark):
-    left = scratch.store(skewed(spark, 300).withColumnRenamed("id", "l"), "left")
-    right = scratch.store(skewed(spark, 240).withColumnRenamed("id", "r"), "right")
+    left = skewed(spark, 300).withColumnRenamed("id", "l")
+    right = skewed(spark, 240).withColumnRenamed("id", "r")
     want = left.join(right, "key").select("l", "r").collect()
-    got = spread_join(left, right, ["key"], ["l"], ["r"], slice_rows=9).select("l", "r").collect()
+    got = spread_join(left, right, ["key"], slice_rows=9).select("l", "r").collect()
     assert len(got) == len(want) > 8000
     assert set(map(tuple, got)) == set(map(tuple, want))
+
+
+def test_spread_join_splits_exact_copies(spark, never_broadcast):
+    """Two thousand copies of one row on the left, sixty on the right."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(2000).select(F.lit("copy").alias("key"), F.lit(1).alias("l"))
+        right = spark.range(60).select(F.lit("copy").alias("key"), F.lit(2).alias("r"))
+        joined = spread_join(left, right, ["key"], slice_rows=50)
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(per_task) == 2000 * 60
+    assert max(per_task) < 120_000 / 5
