@@ -41,10 +41,15 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path of this process in the shared folder that nothing uses yet."""
+    return f"{shared_folder(spark)}/tatemono-{_RUN}/{name}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new scratch table and return a scan of it."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tatemono-{_RUN}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
