@@ -11,28 +11,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tatemono.llm import mixing, near_dup
+from tatemono.llm import mixing, near_dup, packing, quality_mil, secrets
 from tatemono.sources import scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality_mil.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates."""
     return near_dup.drop_near_duplicates(docs)
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced by its kind."""
+    return secrets.redact(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mix_documents(docs)
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their token ids and places."""
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_good),
     ("near_duplicates", drop_near_duplicates),
-    ("mixing", mix_sources),
+    ("secret_scans", redact_secrets),
+    ("source_mixing", mix_sources),
+    ("best_fit_packing", pack_sequences),
 ]
 
-# No SQL expresses the classifier and the tokenizer.
+# SQL expresses neither the classifier nor the tokenizer.
 ORACLE_SQL: str | None = None
 
 
