@@ -3,8 +3,8 @@
 A side is broadcast only if its measured size is small. Otherwise both sides
 are shuffled, and a key with too many rows is cut into slices: its rows on one
 side are spread over the slices by a hash, its rows on the other side are
-copied to each slice. No row is dropped, and the number of copies depends on
-the counted rows only.
+copied to each slice. No row is dropped. The size of a slice never depends on
+the size of the tables.
 """
 
 from __future__ import annotations
@@ -16,17 +16,8 @@ from pyspark.sql import functions as F
 
 from tatemono.sources import scratch
 
-# Rows of one key that a single task may hold, unless so many keys would count
-# as hot that their table, which is broadcast, could exceed MAX_HOT_KEYS rows.
+# Rows of one key that a single task may hold.
 SLICE_ROWS = 200_000
-MAX_HOT_KEYS = 250_000
-# Rows with a NULL key never match; they are spread over this many slices.
-NULL_SLICES = 1024
-
-
-def _slice_size(total_rows: int, wanted: int) -> int:
-    """At most ``total / size`` keys hold more rows than the slice size."""
-    return max(wanted, total_rows // MAX_HOT_KEYS)
 
 
 def _slices(count: Column, rows_per_slice: int) -> Column:
@@ -41,6 +32,33 @@ def _every_slot(slices: Column) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), slices - 1))
 
 
+def broadcast_threshold(total_rows: int, key_bytes: float, limit: int) -> int | None:
+    """Fewer keys than fit in ``limit`` bytes have more rows than this; None
+    if not one key fits."""
+    fitting = int(limit // max(key_bytes, 1.0))
+    return total_rows // fitting if fitting > 0 else None
+
+
+def _with_slices(rows: DataFrame, hot: DataFrame, keys: list[str], total: int, limit: int) -> DataFrame:
+    """Left join of ``rows`` to the stored table of hot keys, which holds a row
+    count ``_hot`` besides the columns to add.
+
+    The table is broadcast if it is small. If not, its hottest keys, as many
+    as are surely small, are broadcast, and the rows of the others, none of
+    which has very many, are shuffled.
+    """
+    size = scratch.measure(hot)
+    if size.bytes <= limit:
+        return rows.join(F.broadcast(hot.drop("_hot")), keys, "left")
+    least = broadcast_threshold(total, size.bytes / size.rows, limit)
+    if least is None:
+        return rows.join(hot.drop("_hot"), keys, "left")
+    hottest = hot.where(F.col("_hot") > least).drop("_hot")
+    warm = hot.where(F.col("_hot") <= least).drop("_hot")
+    others = rows.join(F.broadcast(hottest), keys, "left_anti").join(warm, keys, "left")
+    return rows.join(F.broadcast(hottest), keys).unionByName(others)
+
+
 def lookup_join(
     rows: DataFrame,
     dim: DataFrame,
@@ -48,30 +66,43 @@ def lookup_join(
     spread_by: Sequence[str],
     count: str,
     slice_rows: int = SLICE_ROWS,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Left join of ``rows`` to ``dim``, which has one row per key.
 
-    ``dim`` should be a stored table: its size is measured here. Its column
-    ``count`` holds how many rows have the key; it does not reach the result.
-    ``spread_by`` names columns that tell rows of the same key apart, such as
-    a row id; they must not change when a lost task runs again.
+    ``dim`` should be a stored table: its size is measured here, and it is
+    broadcast up to ``broadcast_bytes`` (default: the limit of ``scratch``).
+    Its column ``count`` holds how many rows have the key; it does not reach
+    the result. ``spread_by`` names columns that tell rows of the same key
+    apart, such as a row id; they must not change when a lost task runs again.
     """
     keys = list(keys)
-    size = dim.agg(F.sum(scratch.row_bytes(dim)).alias("bytes"), F.sum(count).alias("rows")).first()
-    if (size["bytes"] or 0) <= scratch.BROADCAST_BYTES:
+    limit = scratch.BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+    size = dim.agg(
+        F.sum(scratch.row_bytes(dim)).alias("bytes"), F.sum(count).alias("rows"), F.max(count).alias("most")
+    ).first()
+    if (size["bytes"] or 0) <= limit:
         return rows.join(F.broadcast(dim.drop(count)), keys, "left")
 
-    slice_rows = _slice_size(size["rows"] or 0, slice_rows)
-    hot = dim.where(F.col(count) > slice_rows).select(*keys, _slices(F.col(count), slice_rows).alias("_slices"))
-    dim = dim.drop(count)
-    slices = F.coalesce(F.col("_slices"), F.lit(1).cast("long"))
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    spread = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "_slot", _slot(spread_by, F.when(no_key, F.lit(NULL_SLICES).cast("long")).otherwise(slices))
+    # rows without a key match nothing and may go anywhere
+    anywhere = F.when(no_key, F.xxhash64(*spread_by))
+    if (size["most"] or 0) <= slice_rows:
+        spread = rows.withColumn("_slot", F.coalesce(anywhere, F.lit(0).cast("long")))
+        copies = dim.drop(count).withColumn("_slot", F.lit(0).cast("long"))
+        return spread.join(copies, [*keys, "_slot"], "left").drop("_slot")
+    hot = scratch.store(
+        dim.where(F.col(count) > slice_rows).select(
+            *keys, _slices(F.col(count), slice_rows).alias("_slices"), F.col(count).alias("_hot")
+        ),
+        "hot",
     )
-    copies = dim.join(F.broadcast(hot), keys, "left").withColumn("_slot", _every_slot(slices))
+    slices = F.coalesce(F.col("_slices"), F.lit(1).cast("long"))
+    spread = _with_slices(rows, hot, keys, size["rows"], limit)
+    spread = spread.withColumn("_slot", F.coalesce(anywhere, _slot(spread_by, slices)))
+    copies = _with_slices(dim.drop(count), hot, keys, size["rows"], limit).withColumn("_slot", _every_slot(slices))
     return spread.drop("_slices").join(copies.drop("_slices"), [*keys, "_slot"], "left").drop("_slot")
 
 
@@ -82,42 +113,57 @@ def _numbered(df: DataFrame, out: str) -> DataFrame:
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], slice_rows: int = SLICE_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    slice_rows: int = SLICE_ROWS,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Inner many-to-many equi-join; a hot key becomes a grid of slices.
 
     Each task then pairs at most about ``slice_rows`` rows of either side of a
-    key, also if they are copies of one row. Both sides are stored first.
+    key, also if they are copies of one row. The keys of both sides are
+    counted first; only rows of hot keys are stored, to number them.
     """
     keys = list(keys)
-    left, right = _numbered(left, "_lrow"), _numbered(right, "_rrow")
-    slice_rows = _slice_size(max(left.count(), right.count()), slice_rows)
+    limit = scratch.BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     left_counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ln"))
     right_counts = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rn"))
-    hot = (
+    hot = scratch.store(
         left_counts.join(right_counts, keys)
         .where((F.col("_ln") > slice_rows) | (F.col("_rn") > slice_rows))
         .select(
             *keys,
             _slices(F.col("_ln"), slice_rows).alias("_ls"),
             _slices(F.col("_rn"), slice_rows).alias("_rs"),
-        )
+            (F.col("_ln") + F.col("_rn")).alias("_hot"),
+        ),
+        "hot",
     )
-    one = F.lit(1).cast("long")
-    left_slices, right_slices = F.coalesce("_ls", one), F.coalesce("_rs", one)
+    total = hot.agg(F.sum("_hot").alias("n")).first()["n"]
+    if total is None:
+        return left.join(right, keys)
+
+    def split(side: DataFrame) -> tuple[DataFrame, DataFrame]:
+        marked = _with_slices(side, hot, keys, total, limit)
+        return marked.where(F.col("_ls").isNull()).drop("_ls", "_rs"), marked.where(F.col("_ls").isNotNull())
+
+    left_cold, left_hot = split(left)
+    right_cold, right_hot = split(right)
     left_rows = (
-        left.join(F.broadcast(hot), keys, "left")
-        .withColumn("_lslot", _slot(["_lrow"], left_slices))
-        .withColumn("_rslot", _every_slot(right_slices))
+        _numbered(left_hot, "_lrow")
+        .withColumn("_lslot", _slot(["_lrow"], F.col("_ls")))
+        .withColumn("_rslot", _every_slot(F.col("_rs")))
         .drop("_ls", "_rs", "_lrow")
     )
     right_rows = (
-        right.join(F.broadcast(hot), keys, "left")
-        .withColumn("_rslot", _slot(["_rrow"], right_slices))
-        .withColumn("_lslot", _every_slot(left_slices))
+        _numbered(right_hot, "_rrow")
+        .withColumn("_rslot", _slot(["_rrow"], F.col("_rs")))
+        .withColumn("_lslot", _every_slot(F.col("_ls")))
         .drop("_ls", "_rs", "_rrow")
     )
-    return left_rows.join(right_rows, [*keys, "_lslot", "_rslot"]).drop("_lslot", "_rslot")
+    pairs = left_rows.join(right_rows, [*keys, "_lslot", "_rslot"]).drop("_lslot", "_rslot")
+    return left_cold.join(right_cold, keys).unionByName(pairs)
 
 
 def small_or_spread_join(
