@@ -240,9 +240,10 @@ class Dfa:
         order = sorted(range(n), key=lambda b: (bool(tags[one[b]]), b))  # accepting states last
         place = np.empty(n, int)
         place[order] = np.arange(n)
-        width = int(groups.max()) + 1
         small = place[block[table[one[order]]]]
-        self.classes = bytes(groups.astype(np.uint8))
+        small, same = np.unique(small, axis=1, return_inverse=True)  # bytes that no state tells apart
+        width = small.shape[1]
+        self.classes = bytes(same.ravel()[groups].astype(np.uint8))
         self.step = (small * width).ravel().tolist()
         self.start = int(place[block[0]]) * width
         plain = sum(not tags[one[b]] for b in range(n))

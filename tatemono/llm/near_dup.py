@@ -5,13 +5,15 @@
    a class, its smallest id, goes on.
 2. A set's signature holds the minima of many universal hash functions. Bands
    of the signature are bucket keys.
-3. Pairs that share a bucket are verified in rounds: first by the signature,
-   whose agreement estimates the similarity, then exactly on the full sets.
-   Round one compares a document with the smallest of its bucket mates, round
-   two with the smallest of each bucket, round three all remaining pairs of a
-   bucket whose documents are in different components by then. So a bucket of
-   mutual copies costs a star, not all its pairs, and no link that could join
-   two components is left out.
+3. Each document of a bucket is compared with the bucket's smallest one: first
+   by the signature, whose agreement estimates the similarity, then exactly on
+   the full sets. So a bucket of mutual copies costs a star, not all its pairs.
+   The links give components.
+   A bucket whose documents then are in different components may hide a link
+   between two of them. Its documents outside the bucket's main component are
+   compared with all of the bucket, exactly, in tiles of bounded size: the
+   buckets with the same main component are laid out as one grid, so each set
+   is shipped once per side, and only true links leave a tile.
 4. Links are joined to components by alternating large-star and small-star.
 
 Nulls and edges: a text that is NULL or has no word has an empty set and is
@@ -26,6 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from tatemono.llm.components import connected_components
 from tatemono.llm.shingles import MinHash, fingerprint, shingle_set
 from tatemono.llm.text import Rows, fresh, values
-from tatemono.operators.joins import lookup_join, spread_join
+from tatemono.operators.joins import lookup_join
 from tatemono.sources import scratch
 
 
@@ -50,7 +53,9 @@ class Bands:
     percent: int = 75
 
 
-SLICE_ROWS = 2_000  # pairs of one document in a task
+# A tile's side: at most about so many documents, and shingles of them.
+TILE = 1024
+TILE_SHINGLES = 400_000
 
 _SKETCH = "doc_id long, n long, print binary, keys array<long>"
 _SETS = "doc_id long, n long, signature array<int>, shingles array<long>"
@@ -118,6 +123,13 @@ def _classes(sketched: DataFrame) -> DataFrame:
     return joined.withColumn("rep", F.when(known, F.coalesce("_rep", "doc_id"))).drop("_rep")
 
 
+def _sets(texts: DataFrame, ids: DataFrame, make, schema: str) -> DataFrame:
+    """``make`` over the texts of the stored ``ids``."""
+    if scratch.measure(ids).broadcastable:
+        ids = F.broadcast(ids)
+    return texts.join(ids, "doc_id", "left_semi").mapInArrow(make, schema)
+
+
 class _Verifier:
     """Finds the links among candidate pairs ``a, b`` of representatives."""
 
@@ -125,16 +137,12 @@ class _Verifier:
         self.texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         self.bands, self.repeated = bands, repeated
 
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        ids = scratch.store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "members")
-        if scratch.measure(ids).broadcastable:
-            ids = F.broadcast(ids)
-        sets = self.texts.join(ids, "doc_id", "left_semi").mapInArrow(_set_maker(self.bands), _SETS)
-        return scratch.store(sets.distinct() if self.repeated else sets, "sets")
-
     def links(self, pairs: DataFrame) -> DataFrame:
-        """Stored rows of ``pairs`` that are similar enough."""
-        sets = self._sets(pairs)
+        """Stored rows of ``pairs``, a stored table, that are similar enough. A
+        document of very many pairs is a skewed key, which Spark splits."""
+        ids = scratch.store(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "members")
+        sets = _sets(self.texts, ids, _set_maker(self.bands), _SETS)
+        sets = scratch.store(sets.distinct() if self.repeated else sets, "sets")
 
         def side(x: str) -> DataFrame:
             return sets.select(
@@ -144,10 +152,7 @@ class _Verifier:
                 F.col("shingles").alias("x" + x),
             )
 
-        counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_pairs"))
-        centres = scratch.store(side("a").join(counts, "a"), "centres")
-        with_b = pairs.select("a", "b").join(side("b"), "b")
-        both = lookup_join(with_b, centres, ["a"], ["b"], "_pairs", SLICE_ROWS)
+        both = pairs.select("a", "b").join(side("b"), "b").join(side("a"), "a")
         agreeing = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
         likely = agreeing >= F.lit(self.bands.least) * F.size("sa")
         return scratch.store(both.where(likely).where(_linked(self.bands.percent)).select("a", "b"), "links")
@@ -170,8 +175,66 @@ def _with_components(rows: DataFrame, node: str, components: DataFrame, out: str
     return rows.join(found, node, "left").withColumn(out, F.coalesce("_component", node)).drop("_component")
 
 
-def _remaining(shared: DataFrame, components: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components that were not tested yet.
+def _set_bytes():
+    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = Rows(schema)
+        for batch in batches:
+            for doc_id, text in zip(values(batch, "doc_id"), values(batch, "text"), strict=True):
+                found = shingle_set(text).tobytes()
+                yield from rows.add((doc_id, found), len(found) + 40)
+        yield from rows.flush()
+
+    return run
+
+
+def tile_links(left: list[tuple], right: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
+    """Links between ``(rep, component, shingles)`` rows of different
+    components. The right side's shingles are listed in order with their
+    owners; a left set looks up its own, and hits are counted by owner."""
+    if not left or not right:
+        return
+    sets = [np.frombuffer(r[2], np.uint64) for r in right]
+    sizes = np.array([len(s) for s in sets])
+    ids, groups = np.array([r[0] for r in right]), np.array([r[1] for r in right])
+    listed, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(listed, kind="stable")
+    listed, owner = listed[order], owner[order]
+    for rep, group, shingles in left:
+        own = np.frombuffer(shingles, np.uint64)
+        first, last = np.searchsorted(listed, own, "left"), np.searchsorted(listed, own, "right")
+        hits = last - first
+        places = np.repeat(first - np.concatenate([[0], np.cumsum(hits)[:-1]]), hits) + np.arange(hits.sum())
+        shared = np.bincount(owner[places], minlength=len(sets))
+        linked = (100 * shared >= percent * (len(own) + sizes - shared)) & (groups != group)
+        for other in ids[linked].tolist():
+            yield min(rep, other), max(rep, other)
+
+
+def _tile_reader(percent: int):
+    """Reads tiles one after the other; a tile's rows are neighbours."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, sides, here = Rows(schema), ([], []), None
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            for *tile, is_left, rep, group, shingles in zip(*columns, strict=True):
+                if tile != here:
+                    for pair in tile_links(*sides, percent):
+                        yield from rows.add(pair, 16)
+                    sides, here = ([], []), tile
+                sides[0 if is_left else 1].append((rep, group, shingles))
+        for pair in tile_links(*sides, percent):
+            yield from rows.add(pair, 16)
+        yield from rows.flush()
+
+    return run
+
+
+def _hidden_links(verifier: _Verifier, shared: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Stored links ``a, b`` between different components inside buckets.
 
     A bucket's main component is the one with most of its rows. Only rows
     outside it are paired, with all rows of the bucket, so a large group of
@@ -186,14 +249,33 @@ def _remaining(shared: DataFrame, components: DataFrame, tested: DataFrame, perc
         .where(F.col("groups") > 1)
         .drop("groups")
     )
-    opened = lookup_join(rows, scratch.store(main, "main"), ["key"], ["rep"], "_count", 20_000)
-    opened = scratch.store(opened.where(F.col("main").isNotNull()), "open")
-    outside = opened.where(F.col("c") != F.col("main"))
-    left = outside.select("key", F.col("rep").alias("p"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = opened.select("key", F.col("rep").alias("q"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    pairs = spread_join(left, right, ["key"], SLICE_ROWS).where("ca != cb").where(_size_fits(percent))
-    pairs = pairs.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+    opened = lookup_join(rows, scratch.store(main, "main"), ["key"], ["rep"], "_count", 20_000, broadcast_bytes=0)
+    members = opened.where(F.col("main").isNotNull()).select("main", "rep", "n", "c").distinct()
+    members = scratch.store(members, "members")
+
+    outside = F.col("c") != F.col("main")
+    side = lambda rows, n: F.greatest(F.ceil(rows / F.lit(TILE)), F.ceil(n / F.lit(TILE_SHINGLES)))
+    grids = members.groupBy("main").agg(
+        side(F.count(F.lit(1)), F.sum("n")).alias("rs"),
+        side(F.count_if(outside), F.sum(F.when(outside, F.col("n")))).alias("ls"),
+        F.count(F.lit(1)).alias("_count"),
+    )
+    ids = scratch.store(members.select(F.col("rep").alias("doc_id")).distinct(), "member_ids")
+    sets = _sets(verifier.texts, ids, _set_bytes(), "rep long, shingles binary")
+    sets = scratch.store(sets.distinct() if verifier.repeated else sets, "sets")
+    placed = lookup_join(members, scratch.store(grids, "grids"), ["main"], ["rep"], "_count", 20_000)
+    placed = placed.join(sets, "rep").withColumn("_outside", outside)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    place = F.xxhash64("rep")
+    columns = ("rep", "c", "shingles")
+    left = placed.where("_outside").select(
+        "main", F.pmod(place, "ls").alias("l"), every(F.col("rs")).alias("r"), F.lit(True).alias("left"), *columns
+    )
+    right = placed.select(
+        "main", every(F.col("ls")).alias("l"), F.pmod(place, "rs").alias("r"), F.lit(False).alias("left"), *columns
+    )
+    tiles = left.unionByName(right).repartition("main", "l", "r").sortWithinPartitions("main", "l", "r")
+    return scratch.store(tiles.mapInArrow(_tile_reader(percent), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
@@ -213,27 +295,19 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         .where(F.col("size") > 1)
     )
     buckets = scratch.store(buckets.withColumn("_count", F.col("size")), "buckets")
-    shared = lookup_join(rows, buckets, ["key"], ["rep"], "_count", 20_000).where(F.col("a").isNotNull())
-    shared = scratch.store(shared, "shared")
+    # band keys are many at every size, so this join is always a shuffle
+    shared = lookup_join(rows, buckets, ["key"], ["rep"], "_count", 20_000, broadcast_bytes=0)
+    shared = scratch.store(shared.where(F.col("a").isNotNull()), "shared")
     stars = shared.where(F.col("a") != F.col("rep")).withColumnsRenamed({"rep": "b", "n": "nb"})
     stars = scratch.store(stars.where(_size_fits(bands.percent)).select("a", "b").distinct(), "stars")
 
-    first = scratch.store(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first")
-    links = verifier.links(first)
+    links = verifier.links(stars)
     if repeated:
         # rows of one doc_id are one node, whatever classes they are in
         same = lookup_join(known.select("doc_id", "rep"), ids, ["doc_id"], ["rep"], "_count", 20_000)
         links = links.unionByName(same.where("_least != rep").select(F.col("_least").alias("a"), F.col("rep").alias("b")))
     components = connected_components(links)
-
-    untested = stars.join(first, ["a", "b"], "left_anti")
-    for x in ("a", "b"):
-        untested = _with_components(untested, x, components, "c" + x)
-    second = scratch.store(untested.where("ca != cb").select("a", "b"), "second")
-    tested = first.unionByName(second)
-    components = _joined(components, verifier.links(second))
-    third = scratch.store(_remaining(shared, components, tested, bands.percent), "third")
-    components = _joined(components, verifier.links(third))
+    components = _joined(components, _hidden_links(verifier, shared, components, bands.percent))
 
     result = _with_components(classed.select("doc_id", "n", "rep"), "rep", components, "component_id")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

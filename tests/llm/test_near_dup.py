@@ -73,7 +73,7 @@ def test_near_duplicates_against_brute_force(spark, seed):
 
 
 def test_every_join_is_the_same_without_broadcasts(spark, never_broadcast, monkeypatch):
-    monkeypatch.setattr(near_dup, "SLICE_ROWS", 3)
+    monkeypatch.setattr(near_dup, "TILE", 3)
     monkeypatch.setattr(components, "SLICE_ROWS", 3)
     rows = corpus(2)[:40]
     docs = spark.createDataFrame([(t, i) for i, t in rows], "text string, doc_id long")
