@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EARTH_RADIUS_M = 6371008.8
-_WKT_NUMBER = r"([-+]?[0-9.]+(?:[eE][-+]?[0-9]+)?)"
+_WKT_NUMBER = r"([-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][-+]?[0-9]+)?)"
 _WKT_POINT = rf"^\s*POINT\s*\(\s*{_WKT_NUMBER}\s+{_WKT_NUMBER}\s*\)\s*$"
 
 
@@ -45,7 +45,7 @@ def point_wkt(lon: Column, lat: Column) -> Column:
 
 def _wkt_part(wkt: Column, group: int) -> Column:
     text = F.regexp_extract(wkt, _WKT_POINT, group)
-    return F.when(text != "", text.cast("double"))
+    return F.when(text != "", text.try_cast("double"))
 
 
 def wkt_lon(wkt: Column) -> Column:

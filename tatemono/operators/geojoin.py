@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tatemono.functions.geo import EARTH_RADIUS_M, Grid, haversine_m, valid_point
-from tatemono.operators.joins import small_or_spread_join
+from tatemono.operators.joins import lookup_join, small_or_spread_join
+from tatemono.operators.rows import global_row_number
 from tatemono.sources import scratch
 
 CELL = ["_band", "_cell"]
@@ -66,16 +67,17 @@ def radius_join(
     right_point: Point = ("longitude", "latitude"),
     distance: str = "dist_m",
     slice_rows: int = PAIR_SLICE_ROWS,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """All pairs at most ``radius_m`` apart, with their distance.
 
-    Column names of the two sides must differ.
+    Column names of the two sides must differ. The right side is broadcast up
+    to ``broadcast_bytes`` (default: the limit of ``scratch``).
     """
     grid = Grid(radius_m)
     cells = _in_cell(left, left_point, grid)
     listed = scratch.store(_in_reached_cells(right, right_point, grid), "listed")
-    small = scratch.measure(listed).broadcastable
-    pairs = small_or_spread_join(cells, listed, CELL, small, slice_rows)
+    pairs = small_or_spread_join(cells, listed, CELL, scratch.fits(listed, broadcast_bytes), slice_rows)
     return (
         pairs.withColumn(distance, _distance(left_point, right_point))
         .where(F.col(distance) <= F.lit(float(radius_m)))
@@ -83,6 +85,13 @@ def radius_join(
     )
 
 
+def _least(found: DataFrame, by: list[str]) -> DataFrame:
+    """Smallest distance ``_d`` per group and, of equal ones, the smallest
+    ``_rank``. Numbers only, so both steps aggregate in hash tables."""
+    ties = found.groupBy(*by, "_d").agg(F.min("_rank").alias("_rank"))
+    return ties.groupBy(*by).agg(F.min_by("_rank", "_d").alias("_rank"), F.min("_d").alias("_d"))
+
+
 def nearest_within(
     left: DataFrame,
     right: DataFrame,
@@ -95,17 +104,20 @@ def nearest_within(
     cell_points: int = CELL_POINTS,
     node_points: int = NODE_POINTS,
     slice_rows: int = PAIR_SLICE_ROWS,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """For each key of ``left`` the nearest row of ``right`` in the radius.
 
     A key with several points takes the best distance over all of them. Equal
-    distances are decided by ``tiebreak``, then by the other right columns.
-    Keys without a match are absent.
-
-    Cells that list few points are joined directly. In the others a left point
-    searches a tree of right-hand points level by level, and keeps only nodes
-    that can still hold its nearest point, so that no group of points is ever
-    paired with another as a whole.
+    distances are decided by ``tiebreak``, then by the other right columns,
+    NULL last. Keys without a match are absent.
+
+    The right rows are numbered in the order that decides ties, so that the
+    search handles numbers only. Each coordinate of the left side is searched
+    once. A cell that lists few points holds them in one array, and a left
+    point takes the least of it; no pair becomes a row. In the other cells a
+    left point searches a tree of right-hand points level by level, and keeps
+    only nodes that can still hold its nearest point.
     """
     grid = Grid(radius_m)
     keys = list(keys)
@@ -113,51 +125,46 @@ def nearest_within(
     payload = [*tiebreak, *others]
     x, y = right_point
 
-    # one row per place: copies and rows that lose every tie go before any join
-    places = (
-        right.where(valid_point(F.col(x), F.col(y))).groupBy(x, y).agg(F.min(F.struct(*payload)).alias("_right"))
-    )
-    listed = scratch.store(_in_reached_cells(places, right_point, grid), "places")
-    searchers = _in_cell(left.select(*keys, *left_point), left_point, grid)
-    per_cell = listed.groupBy(*CELL).agg(
-        F.count(F.lit(1)).alias("_points"), F.sum(scratch.row_bytes(listed)).alias("_bytes")
-    )
-    load = per_cell.agg(
-        F.sum("_bytes").alias("bytes"), F.count(F.when(F.col("_points") > cell_points, True)).alias("crowded")
-    ).first()
-    small = (load["bytes"] or 0) <= scratch.BROADCAST_BYTES
-    if not small:
-        searchers = searchers.distinct()
-
-    if load["crowded"]:
-        searchers = scratch.store(searchers, "searchers")
-        crowded = scratch.store(per_cell.where(F.col("_points") > cell_points).select(*CELL), "crowded")
-        direct = scratch.store(listed.join(crowded, CELL, "left_anti"), "direct")
-    else:
-        direct = listed
-    found = small_or_spread_join(searchers, direct, CELL, small, slice_rows).select(
-        *keys, _distance(left_point, right_point).alias(distance), "_right"
-    )
-    if load["crowded"]:
-        places = scratch.store(
-            listed.join(crowded, CELL, "left_semi").drop(*CELL).distinct(), "crowded-places"
-        )
-        tree = _PointTree(places, right_point, grid, node_points, slice_rows)
-        found = found.unionByName(
-            tree.search(searchers.join(crowded, CELL, "left_semi").distinct(), keys, left_point).select(
-                *keys, F.col("_d").alias(distance), "_right"
-            )
-        )
-    best = (
-        found.where(F.col(distance) <= F.lit(float(radius_m)))
-        .groupBy(*keys)
-        .agg(F.min(F.struct(F.col(distance), F.col("_right"))).alias("_best"))
-    )
-    return best.select(
-        *keys,
-        F.col(f"_best.{distance}").alias(distance),
-        *[F.col(f"_best._right.{c}").alias(c) for c in payload],
+    usable = right.where(valid_point(F.col(x), F.col(y))).select(*payload, x, y)
+    order = [F.col(c).asc_nulls_last() for c in [*payload, x, y]]
+    ranked = scratch.store(global_row_number(usable, order, "_rank", "places"), "ranked")
+    places = ranked.groupBy(x, y).agg(F.min("_rank").alias("_rank"))
+    listed = scratch.store(_in_reached_cells(places, right_point, grid), "listed")
+
+    who = list(left_point)
+    spots = left.where(valid_point(*[F.col(c) for c in who])).groupBy(*who).agg(F.count(F.lit(1)).alias("_count"))
+    spots = scratch.store(spots, "spots")
+    searchers = _in_cell(spots.select(*who), left_point, grid)
+
+    counted = listed.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_points"))
+    crowded = scratch.store(counted.where(F.col("_points") > cell_points).select(*CELL), "crowded")
+    any_crowded = not crowded.isEmpty()
+    direct = listed.join(crowded, CELL, "left_anti") if any_crowded else listed
+    arrays = direct.groupBy(*CELL).agg(F.collect_list(F.struct(x, y, "_rank")).alias("_places"))  # few points each
+    arrays = scratch.store(arrays, "cells")
+    near = F.array_min(
+        F.transform("_places", lambda p: F.struct(_metres(left_point, p[x], p[y]).alias("_d"), p["_rank"].alias("_rank")))
     )
+    met = small_or_spread_join(searchers, arrays, CELL, scratch.fits(arrays, broadcast_bytes), slice_rows)
+    found = met.select(*who, near.alias("_near")).select(*who, "_near._d", "_near._rank")
+    if any_crowded:
+        dense = listed.join(crowded, CELL, "left_semi").drop(*CELL).distinct()
+        tree = _PointTree(scratch.store(dense, "crowded-places"), right_point, grid, node_points, slice_rows, broadcast_bytes)
+        pairs = tree.search(searchers.join(crowded, CELL, "left_semi"), left_point)
+        found = found.unionByName(_least(pairs.select(*who, "_d", "_rank"), who))
+    found = found.where(F.col("_d") <= F.lit(float(radius_m)))
+
+    per_spot = scratch.store(found.join(spots, who), "nearest")
+    by_key = lookup_join(left.select(*keys, *who), per_spot, who, keys, "_count", slice_rows, broadcast_bytes)
+    best = scratch.store(_least(by_key.where(F.col("_rank").isNotNull()).select(*keys, "_d", "_rank"), keys), "best")
+    uses = best.groupBy("_rank").agg(F.count(F.lit(1)).alias("_count"))
+    dim = scratch.store(ranked.select("_rank", *payload).join(uses, "_rank"), "chosen")
+    named = lookup_join(best, dim, ["_rank"], keys, "_count", slice_rows, broadcast_bytes)
+    return named.select(*keys, F.col("_d").alias(distance), *payload)
+
+
+def _metres(point: Point, lon: Column, lat: Column) -> Column:
+    return haversine_m(F.col(point[0]), F.col(point[1]), lon, lat)
 
 
 class _PointTree:
@@ -168,8 +175,16 @@ class _PointTree:
     not beyond the farthest possible place of another node or the radius.
     """
 
-    def __init__(self, places: DataFrame, point: Point, grid: Grid, node_points: int, slice_rows: int):
-        self.point, self.grid, self.slice_rows = point, grid, slice_rows
+    def __init__(
+        self,
+        places: DataFrame,
+        point: Point,
+        grid: Grid,
+        node_points: int,
+        slice_rows: int,
+        broadcast_bytes: int | None = None,
+    ):
+        self.point, self.grid, self.slice_rows, self.broadcast_bytes = point, grid, slice_rows, broadcast_bytes
         lon, lat = F.col(point[0]), F.col(point[1])
         # a longitude of 180 shares the cell of -180 and must share its box
         level_lon = F.when(lon >= 180.0, lon - 360.0).otherwise(lon)
@@ -196,7 +211,7 @@ class _PointTree:
             most = nodes.agg(F.max("_points")).first()[0] or 0
         self.depth = len(self.levels) - 1
         self.leaves = placed.withColumns(self._node_of(self.depth)).drop("_level_lon")
-        self.small = scratch.measure(self.leaves).broadcastable
+        self.small = scratch.fits(self.leaves, broadcast_bytes)
 
     def _nodes(self, placed: DataFrame, level: int) -> DataFrame:
         """Count and bounding box of the points in each node of a level."""
@@ -237,11 +252,11 @@ class _PointTree:
             reach.alias("_reach"),
         )
 
-    def search(self, searchers: DataFrame, keys: list[str], point: Point) -> DataFrame:
-        """Pairs (left row, right place) among which is the nearest place of
-        every left row that has one in the radius."""
+    def search(self, searchers: DataFrame, point: Point) -> DataFrame:
+        """Pairs (left point, right place) among which is the nearest place of
+        every left point that has one in the radius."""
         radius = F.lit(float(self.grid.radius_m))
-        who = [*keys, *point]
+        who = list(point)
         node = [*CELL, "_row", "_column"]
         x, y = self.point
 
@@ -259,7 +274,7 @@ class _PointTree:
             [f"_from{c}" for c in CELL],
         )
         roots = scratch.store(roots, "roots")
-        self.small = self.small and scratch.measure(roots).broadcastable
+        self.small = self.small and scratch.fits(roots, self.broadcast_bytes)
         candidates = (
             self._join(searchers, roots, CELL)
             .drop(*CELL)

@@ -192,7 +192,8 @@ from (select distinct l_partkey, l_suppkey from lineitem)
 join (select p_partkey, {fixtures.TEST["lon"]} as lon, {fixtures.TEST["lat"]} as lat from part) on l_partkey = p_partkey
 join (select s_suppkey, {fixtures.STATIONS["longitude"]} as longitude, {fixtures.STATIONS["latitude"]} as latitude
   from supplier) on l_suppkey = s_suppkey""",
-    "q_wkt": "select podb_land_price_id, lon, lat from raw_points",
+    "q_wkt": """select podb_land_price_id, lon, lat,
+  'POINT(' || cast(round(lon, 4) as varchar) || ' ' || cast(round(lat, 4) as varchar) || ')' as wkt from raw_points""",
     "q_radius_join": "select building_id, data_type, station_name, city_name, round(dist_m, 3) as dist_m from station_pairs",
     "q_nearest_station": "select * replace (round(recovered_walk_dist, 3) as recovered_walk_dist) from station",
     "q_nearest_land": "select * from land",
@@ -228,4 +229,28 @@ left join {_codes("addr_group", "mart")} ac on ac.label = coalesce(m.addr_group,
   from lineitem where {_IS_TEST}""",
 }
 
+FINALS |= {
+    "q_gbt": "select id, true as priced from stg_test",
+    "q_gbt_stump": """select t.id, round(avg(exp(m.level) - 1), 4) as price
+from (select id, cast(building_id as int) % 2 as odd from stg_test) t
+join (
+  select f.fold, r.odd, avg(r.y) as level from (values (0), (1), (2)) f(fold)
+  join (select cast(building_id as int) % 2 as odd, fold, ln(1 + target_price) as y from train_rows) r on r.fold <> f.fold
+  group by f.fold, r.odd
+) m on m.odd = t.odd group by t.id""",
+    "q_gbt_gate": """select cast(3 as bigint) as folds, (select count(*) from raw_train) as train_rows, count(*) as test_rows,
+  count(*) as priced_rows, true as beats_median from raw_test""",
+    "q_lookup_spread": """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, p_brand
+from lineitem left join part on l_partkey = p_partkey""",
+    "q_radius_spread": FINALS["q_radius_join"],
+    "q_nearest_crowded": FINALS["q_nearest_station"],
+    "q_landing_train": """select building_id, target_price, house_area, floor_count, year_built, target_ym, full_address
+from (select cast(round(money_room) as double) as target_price, cast(building_id as string) as building_id,
+  coalesce(cast(unit_area as double), (cast(unit_area_max as double) + cast(unit_area_min as double)) / 2.0) as house_area,
+  cast(floor_count as double) as floor_count, cast(year_built as int) as year_built,
+  cast(target_ym as int) as target_ym, full_address from raw_train)""",
+    "q_mart_files": FINALS["q_mart"],
+    "q_submission_file": FINALS["q_submission"],
+}
+
 ORACLES = {name: _query(final) for name, final in FINALS.items()}

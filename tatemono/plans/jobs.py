@@ -9,50 +9,76 @@ from pyspark.sql import DataFrame, SparkSession
 from tatemono.plans import mart as mart_plan
 from tatemono.plans import score as score_plan
 from tatemono.plans import staging
-from tatemono.sources import readers, sinks
+from tatemono.sources import readers, schemas, scratch, sinks
+
+_SCHEMAS = {
+    "train": schemas.TRAIN,
+    "test": schemas.TEST,
+    "stations": schemas.STATIONS,
+    "land_points": schemas.LAND_POINTS,
+    "land_series": schemas.LAND_SERIES,
+}
+
+
+def land(
+    spark: SparkSession, inputs: Mapping[str, str | DataFrame], fmt: str = "parquet", **options: str
+) -> dict[str, DataFrame]:
+    """The five raw tables, each from a landing folder with its declared schema
+    or, given a DataFrame such as a catalog table, as it is. The rows of
+    ``train`` get an address; what is no parquet folder is stored for that."""
+    raw = {}
+    for name, schema in _SCHEMAS.items():
+        source = inputs[name]
+        named = isinstance(source, str)
+        rows = readers.read_raw(spark, source, schema, fmt, **options) if named else source
+        if name == "train":
+            rows = readers.with_row_address(rows if named and fmt == "parquet" else scratch.store(rows, "landed"))
+        raw[name] = rows
+    return raw
 
 
 def build_mart(
     spark: SparkSession,
-    inputs: Mapping[str, str],
+    inputs: Mapping[str, str | DataFrame],
     out: str,
     radius_m: float = mart_plan.RADIUS_M,
     years: Sequence[int] = staging.YEARS,
     land_class: str = staging.RESIDENTIAL,
     lenient: bool = False,
+    fmt: str = "parquet",
+    **options: str,
 ) -> DataFrame:
-    """Read the five raw parquet tables and write the three stored models.
+    """Read the five raw tables and write the three stored models.
 
-    ``inputs`` names the folders of ``train``, ``test``, ``stations``,
-    ``land_points`` and ``land_series``. Below ``out`` appear the nearest
-    stations, the nearest land prices and the mart, which is returned.
+    ``inputs`` names the landing folders (of format ``fmt``) or holds the
+    DataFrames of ``train``, ``test``, ``stations``, ``land_points`` and
+    ``land_series``. Below ``out`` appear the nearest stations, the nearest
+    land prices and the mart, which is returned. The run's scratch tables are
+    removed.
     """
-    train = staging.stage_train(readers.with_row_address(readers.read_train(spark, inputs["train"])), lenient)
-    test = staging.stage_test(readers.read_test(spark, inputs["test"]), lenient)
-    stations = staging.stage_stations(readers.read_stations(spark, inputs["stations"]))
-    land_prices = staging.stage_land_prices(
-        readers.read_land_points(spark, inputs["land_points"]),
-        readers.read_land_series(spark, inputs["land_series"]),
-        years,
-        land_class,
-    )
-    base = mart_plan.base_records(train, test)
-    points = mart_plan.listing_points(base)
-    station = sinks.write_model(
-        mart_plan.nearest_station(points, stations, radius_m), f"{out}/nearest_station"
-    )
-    land = sinks.write_model(
-        mart_plan.nearest_land(points.select("building_id", "lon", "lat").distinct(), land_prices, radius_m, years),
-        f"{out}/nearest_land",
-    )
-    return sinks.write_model(mart_plan.join_models(base, points, station, land), f"{out}/mart")
-
-
-def score_mart(spark: SparkSession, mart: str, out: str, single_file: bool = False, **settings) -> DataFrame:
-    """Read a stored mart, train, and write the submission as CSV.
-
-    ``settings`` go to :func:`tatemono.plans.score.score`.
+    with scratch.scope(spark):
+        raw = land(spark, inputs, fmt, **options)
+        train, test = staging.stage_train(raw["train"], lenient), staging.stage_test(raw["test"], lenient)
+        land_prices = staging.stage_land_prices(raw["land_points"], raw["land_series"], years, land_class)
+        mart = mart_plan.mart(
+            train, test, staging.stage_stations(raw["stations"]), land_prices, radius_m, years,
+            write=lambda df, name: sinks.write_model(df, f"{out}/{name}"),
+        )
+        return sinks.write_model(mart, f"{out}/mart")
+
+
+def score_mart(
+    spark: SparkSession, mart: str, out: str, single_file: bool = False, errors: str | None = None, **settings
+) -> DataFrame:
+    """Read a stored mart, train, and write the submission as CSV; the result
+    scans that file. With ``errors``, a folder, the rounds and the held-out
+    error of each fold are written there.
+
+    ``settings`` go to :func:`tatemono.plans.score.fit_and_score`.
     """
-    prices = score_plan.score(readers.read_model(spark, mart), **settings)
-    sinks.write_submission(prices, out, single_file)
-    return prices
+    with scratch.scope(spark):
+        scored = score_plan.fit_and_score(readers.read_model(spark, mart), **settings)
+        sinks.write_submission(scored.prices, out, single_file)
+        if errors:
+            sinks.write_model(scored.errors, errors)
+    return readers.read_submission(spark, out)

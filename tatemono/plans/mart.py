@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from tatemono.sources import scratch
 
 RADIUS_M = 5000.0
 
+# The columns of the mart and of the listings it starts from.
 MART_COLUMNS = [
     "id", "data_type", "target_price", "house_area", "floor_count", "building_age", "lon", "lat",
     "building_id", "full_address", "addr_group", "station_name", "city_name", "final_walk_dist",
@@ -120,16 +121,20 @@ def mart(
     land_prices: DataFrame,
     radius_m: float = RADIUS_M,
     years: Sequence[int] = YEARS,
+    write: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """The feature mart from the staged tables."""
+    """The feature mart from the staged tables. ``write`` may store the two
+    lookups, ``nearest_station`` and ``nearest_land``, on the way."""
     base = base_records(train, test)
     points = listing_points(base)
     distinct_points = points.select("building_id", "lon", "lat").distinct()
+    keep = write or (lambda df, name: df)
     station, land = side_by_side(
         base.sparkSession,
         [
-            lambda: nearest_station(points, stations, radius_m),
-            lambda: nearest_land(distinct_points, land_prices, radius_m, years),
+            lambda: keep(nearest_station(points, stations, radius_m), "nearest_station"),
+            lambda: keep(nearest_land(distinct_points, land_prices, radius_m, years), "nearest_land"),
         ],
     )
     return join_models(base, points, station, land)
+

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tatemono.functions import addr_group, area_recover, wkt_lat, wkt_lon
 from tatemono.operators.rows import conditional_pivot, global_row_number
+from tatemono.sources import scratch
 from tatemono.sources.readers import ROW_ADDRESS
 
 # The land-price class and the research years that are read.
@@ -58,7 +59,8 @@ def type_train(raw: DataFrame, lenient: bool = False) -> DataFrame:
 
 def stage_train(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """Training listings. They carry no id, so the row number in the order of
-    building and address becomes one. The result scans a stored table.
+    building and address becomes one. The rows are sorted and stored at once,
+    when this is called; the result scans that table.
 
     ``lenient`` turns values of the wrong type into NULL instead of an error.
     """
@@ -91,8 +93,9 @@ def stage_land_prices(
     """One row per land point of the class, one price column per year.
 
     ``points`` has either ``lon``/``lat`` or a WKT column
-    ``point_land_price``. The series is pivoted before the join, so the join
-    sees one row per id on one side and one per place on the other.
+    ``point_land_price``. Only the series of the class are pivoted, and before
+    the join, so the join sees one row per id on one side and one per place on
+    the other. The ids of the class are stored first, to measure them.
     """
     if "point_land_price" in points.columns:
         points = points.withColumns(
@@ -108,7 +111,11 @@ def stage_land_prices(
         )
         .distinct()
     )
+    ids = scratch.store(places.select("podb_land_price_id").distinct(), "land_ids")
+    if scratch.measure(ids).broadcastable:
+        ids = F.broadcast(ids)
+    of_class = series.join(ids, "podb_land_price_id", "left_semi")
     prices = conditional_pivot(
-        series, ["podb_land_price_id"], "research_year", {y: f"price_{y}" for y in years}, "posted_land_price"
+        of_class, ["podb_land_price_id"], "research_year", {y: f"price_{y}" for y in years}, "posted_land_price"
     )
     return places.join(prices, "podb_land_price_id")

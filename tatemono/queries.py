@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from tatemono import functions as fn
 from tatemono.operators import encode, model
-from tatemono.operators.geojoin import radius_join
+from tatemono.operators.geojoin import nearest_within, radius_join
+from tatemono.operators.joins import lookup_join
 from tatemono.operators.rows import global_row_number
 from tatemono.plans import mart as mart_plan
 from tatemono.plans import score as score_plan
 from tatemono.plans import staging
-from tatemono.sources import fixtures, scratch
+from tatemono.sources import fixtures, readers, schemas, scratch, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,10 +190,15 @@ def distance(spark, sf_dir):
 
 
 def wkt(spark, sf_dir):
-    """Points to text and back."""
-    points = Tables(spark, sf_dir).raw.land_points.withColumn("_wkt", fn.point_wkt(F.col("lon"), F.col("lat")))
+    """Points to text and back; the text in four decimals, which all engines
+    print alike."""
+    lon, lat = F.col("lon"), F.col("lat")
+    points = Tables(spark, sf_dir).raw.land_points.withColumn("_wkt", fn.point_wkt(lon, lat))
     return points.select(
-        "podb_land_price_id", fn.wkt_lon(F.col("_wkt")).alias("lon"), fn.wkt_lat(F.col("_wkt")).alias("lat")
+        "podb_land_price_id",
+        fn.wkt_lon(F.col("_wkt")).alias("lon"),
+        fn.wkt_lat(F.col("_wkt")).alias("lat"),
+        fn.point_wkt(F.round(lon, 4), F.round(lat, 4)).alias("wkt"),
     )
 
 
@@ -314,8 +320,98 @@ def submission(spark, sf_dir):
 
 
 def gbt(spark, sf_dir):
-    """Planted target, few rounds: the whole way from raw tables to prices."""
-    return score_plan.score(Tables(spark, sf_dir, planted=True).stored_mart(), rounds=10, learning_rate=0.3, depth=5)
+    """Planted target, few rounds: every test listing gets a price."""
+    mart = Tables(spark, sf_dir, planted=True).stored_mart()
+    prices = score_plan.score(mart, rounds=10, learning_rate=0.3, depth=5)
+    return prices.select("id", F.coalesce(F.col("price") > 0, F.lit(False)).alias("priced"))
+
+
+def gbt_stump(spark, sf_dir):
+    """One feature of two values, one round of one split: a price is the mean,
+    over the folds, of the other folds' mean in log space for its value."""
+    rows = Tables(spark, sf_dir).stored_base("target_price", "building_id")
+    odd = (F.col("building_id").cast("int") % 2).cast("double").alias("odd")
+    folded = score_plan.with_folds(rows).select("data_type", "id", "fold", "target_price", odd)
+    table = scratch.store(model.assemble(folded, ["odd"]), "stump")
+    models = model.fit_folds(table, "target_price", rounds=1, depth=1, learning_rate=1.0)
+    priced = model.predict_ensemble(table.where("data_type = 'test'"), models)
+    return priced.select("id", F.round("price", 4).alias("price"))
+
+
+def gbt_gate(spark, sf_dir):
+    """Planted target: the held-out error is below half of the error of the
+    median guess, in each fold; every test listing is priced."""
+    mart = Tables(spark, sf_dir, planted=True).stored_mart()
+    scored = score_plan.fit_and_score(mart, rounds=200, first_rounds=50, patience=20, learning_rate=0.2, depth=5)
+    train = mart.where("data_type = 'train'")
+    middle = train.agg(F.median("target_price")).first()[0]
+    guess = model.mean_absolute_error(train.withColumn("_guess", F.lit(middle)), "target_price", "_guess").first()["mae"]
+    folds = scored.errors.agg(F.count(F.lit(1)).alias("folds"), F.sum("rows").alias("train_rows"), F.max("mae").alias("worst"))
+    prices = scored.prices.agg(F.count(F.lit(1)).alias("test_rows"), F.count_if(F.col("price") > 0).alias("priced_rows"))
+    # one row each
+    return folds.join(prices, F.lit(True)).select(
+        "folds", "train_rows", "test_rows", "priced_rows", (F.col("worst") < guess / 2).alias("beats_median")
+    )
+
+
+def lookup_spread(spark, sf_dir):
+    """Parts joined to their order lines with nothing broadcast and small slices."""
+    lines = fixtures.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    counts = lines.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("_rows"))
+    part = fixtures.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    dim = scratch.store(part.join(counts, "l_partkey"), "parts")
+    spread_by = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
+    return lookup_join(lines, dim, ["l_partkey"], spread_by, "_rows", slice_rows=8, broadcast_bytes=0)
+
+
+def radius_spread(spark, sf_dir):
+    """The radius join with nothing broadcast and cells cut into small slices."""
+    t = Tables(spark, sf_dir)
+    points = mart_plan.buildings_by_type(t.unnumbered_train, t.test)
+    pairs = radius_join(points, t.stations, mart_plan.RADIUS_M, slice_rows=4, broadcast_bytes=0)
+    return pairs.select("building_id", "data_type", "station_name", "city_name", _metres("dist_m"))
+
+
+def nearest_crowded(spark, sf_dir):
+    """The nearest station by the point tree, with nothing broadcast."""
+    t = Tables(spark, sf_dir)
+    points = mart_plan.buildings_by_type(t.unnumbered_train, t.test)
+    near = nearest_within(
+        points, t.stations, ["building_id", "data_type"], mart_plan.RADIUS_M, ["station_name", "city_name"],
+        cell_points=1, node_points=1, slice_rows=50, broadcast_bytes=0,
+    )
+    return near.select(
+        "building_id", "data_type", "station_name", "city_name", _metres("dist_m")
+    ).withColumnRenamed("dist_m", "recovered_walk_dist")
+
+
+def landing_train(spark, sf_dir):
+    """Training listings written with the declared schema, read back as a
+    landing folder, and typed."""
+    raw = Tables(spark, sf_dir).raw.train.drop(*readers.ROW_ADDRESS)
+    declared = spark.createDataFrame([], schemas.TRAIN).schema
+    path = scratch.new_path(spark, "landing")
+    raw.select(
+        *[(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared]
+    ).write.parquet(path)
+    landed = sinks.load_table(readers.read_train(spark, path), scratch.new_path(spark, "landed"))
+    return staging.type_train(landed).select("building_id", "target_price", "house_area", "floor_count", "year_built", "target_ym", "full_address")
+
+
+def mart_files(spark, sf_dir):
+    """The mart as a stored model and a table view, read back by upper-case names."""
+    stored = sinks.write_model(Tables(spark, sf_dir).mart(), scratch.new_path(spark, "model"))
+    view = sinks.register_view(readers.upper_names(stored), "tatemono_mart_upper")
+    columns = [F.col(c.upper()).alias(c) for c in stored.columns]
+    return view.select(*columns).withColumn("final_walk_dist", _metres("final_walk_dist"))
+
+
+def submission_file(spark, sf_dir):
+    """The submission written as CSV, and once more over it, and read back."""
+    path = scratch.new_path(spark, "submission")
+    for _ in range(2):
+        sinks.write_submission(submission(spark, sf_dir), path)
+    return readers.read_submission(spark, path)
 
 
 QUERIES: dict[str, Query] = {
@@ -353,4 +449,12 @@ QUERIES: dict[str, Query] = {
     "q_mae": mae,
     "q_submission": submission,
     "q_gbt": gbt,
+    "q_gbt_stump": gbt_stump,
+    "q_gbt_gate": gbt_gate,
+    "q_lookup_spread": lookup_spread,
+    "q_radius_spread": radius_spread,
+    "q_nearest_crowded": nearest_crowded,
+    "q_landing_train": landing_train,
+    "q_mart_files": mart_files,
+    "q_submission_file": submission_file,
 }

@@ -49,6 +49,11 @@ def read_model(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_submission(spark: SparkSession, path: str) -> DataFrame:
+    """Scan a written submission."""
+    return spark.read.schema("id STRING, price BIGINT").csv(path)
+
+
 def upper_names(df: DataFrame) -> DataFrame:
     """All column names in upper case."""
     return df.toDF(*[name.upper() for name in df.columns])

@@ -11,6 +11,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,9 +43,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
+# names the folder of a scope; threads of a job inherit local properties
+_SCOPE = "tatemono.scratch.scope"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of this process in the shared folder that nothing uses yet."""
-    return f"{shared_folder(spark)}/tatemono-{_RUN}/{name}-{uuid.uuid4().hex}"
+    scope = spark.sparkContext.getLocalProperty(_SCOPE)
+    folder = f"{scope}/{name}" if scope else name
+    return f"{shared_folder(spark)}/tatemono-{_RUN}/{folder}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the scratch tables that were stored inside it and
+    no others. Results must be written elsewhere before."""
+    outer = spark.sparkContext.getLocalProperty(_SCOPE)
+    inner = f"{outer}/scope-{uuid.uuid4().hex}" if outer else f"scope-{uuid.uuid4().hex}"
+    spark.sparkContext.setLocalProperty(_SCOPE, inner)
+    try:
+        yield
+    finally:
+        spark.sparkContext.setLocalProperty(_SCOPE, outer)
+        _delete(spark, f"{shared_folder(spark)}/tatemono-{_RUN}/{inner}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -57,8 +84,7 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def remove_tables(spark: SparkSession) -> None:
     """Delete every scratch table of this process, once no result that reads
     one is needed any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tatemono-{_RUN}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, f"{shared_folder(spark)}/tatemono-{_RUN}")
 
 
 @dataclass(frozen=True)
@@ -93,3 +119,9 @@ def measure(df: DataFrame) -> Size:
     """Row count and in-memory size of a (stored) table; one small job."""
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return Size(row["n"], row["b"] or 0)
+
+
+def fits(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether a stored table may be broadcast: up to ``limit`` bytes, by
+    default ``BROADCAST_BYTES``."""
+    return measure(df).bytes <= (BROADCAST_BYTES if limit is None else limit)

@@ -77,3 +77,12 @@ def test_wkt_round_trip_and_rejects_other_text(spark):
     assert [tuple(r) for r in df.select(fn.wkt_lon(F.col("t")), fn.wkt_lat(F.col("t"))).collect()] == [*rows[:3], (None, None)]
     odd = [("point(1 2)",), ("POINT (1 2)",), ("LINESTRING(1 2, 3 4)",), ("POINT(1)",), ("",)]
     assert values(spark, fn.wkt_lon(F.col("t")), odd, "t string") == [None, 1.0, None, None, None]
+
+
+def test_malformed_points_are_missing(spark):
+    bad = ["POINT(. .)", "POINT(1.2.3 4)", "POINT(1 2 3)", "POINT(1e 2)", "POINT(+ 2)", "LINESTRING(1 2)", "", None, "POINT(1 NaN)"]
+    rows = [(t,) for t in bad]
+    assert values(spark, fn.wkt_lon(F.col("t")), rows, "t string") == [None] * len(bad)
+    good = [(" POINT ( -1.5e1 .25 ) ",), ("POINT(139. 35)",)]
+    assert values(spark, fn.wkt_lon(F.col("t")), good, "t string") == [-15.0, 139.0]
+    assert values(spark, fn.wkt_lat(F.col("t")), good, "t string") == [0.25, 35.0]

@@ -140,3 +140,28 @@ def test_grid_join_plan_has_no_nested_loop(spark, never_broadcast, capsys):
     radius_join(left, right, 5000.0).explain()
     plan = capsys.readouterr().out
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_a_missing_name_loses_a_tie(spark):
+    left = spark.createDataFrame([("k", 0.0, 0.0)], "k string, lon double, lat double")
+    right = spark.createDataFrame(
+        [(None, 0.01, 0.0, "x"), ("named", 0.01, 0.0, None), (None, -0.01, 0.0, "a")],
+        "name string, longitude double, latitude double, city string",
+    )
+    assert [r["name"] for r in nearest_within(left, right, ["k"], 5000.0, ["name", "city"]).collect()] == ["named"]
+    only = right.where("name is null")
+    assert [r["city"] for r in nearest_within(left, only, ["k"], 5000.0, ["name", "city"]).collect()] == ["a"]
+
+
+def test_nearest_plan_makes_no_pairs_and_no_sorted_aggregate(spark, monkeypatch):
+    plans = []
+    real = scratch.store
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(scratch, "store", watched)
+    plans.append(nearest_within(*frames(spark, cloud(1, CENTRES, 5, 0.1), cloud(2, CENTRES, 5, 0.1)), ["k"], 5000.0, ["name"])._jdf.queryExecution().executedPlan().toString())
+    text = "\n".join(plans)
+    assert "SortAggregate" not in text and "NestedLoop" not in text and "array_min" in text

@@ -214,6 +214,18 @@ def test_scratch_folder_is_the_one_the_cluster_names(spark):
     assert scratch.shared_folder(FakeSession({}, "local[4]")) == scratch.shared_folder(FakeSession({}, "local[*]"))
 
 
+def test_scope_removes_its_own_tables_only(spark):
+    outside = scratch.store(spark.range(3), "kept")
+    with scratch.scope(spark):
+        inside = scratch.store(spark.range(4), "gone")
+        with scratch.scope(spark):
+            scratch.store(spark.range(5), "gone")
+        assert inside.count() == 4
+    assert outside.count() == 3 and scratch.store(spark.range(2), "kept").count() == 2
+    with pytest.raises(Exception, match="(?i)does not exist|FILE_NOT_EXIST"):
+        inside.count()
+
+
 def test_scratch_store_and_measure(spark):
     stored = scratch.store(spark.range(4).withColumn("s", F.lit("x")), "t")
     size = scratch.measure(stored)
@@ -221,29 +233,55 @@ def test_scratch_store_and_measure(spark):
     assert scratch.measure(stored.where("id > 9")).bytes == 0
 
 
-def test_runs_from_paths_to_paths(spark, tmp_path):
-    raw = fixtures.raw_tables(spark, "/root/testdata/sf0.001")
+def landed(spark, raw, folder, fmt):
+    """The raw tables written with their declared schemas, decimals included."""
     declared = {"train": schemas.TRAIN, "test": schemas.TEST, "stations": schemas.STATIONS}
-    paths = {name: str(tmp_path / name) for name in ("train", "test", "stations", "land_points", "land_series")}
+    paths = {name: f"{folder}/{name}" for name in ("train", "test", "stations", "land_points", "land_series")}
     for name, schema in declared.items():
-        empty = spark.createDataFrame([], schema)
         have = getattr(raw, name)
+        fields = spark.createDataFrame([], schema).schema
         have.select(
-            *[F.col(c).cast(empty.schema[c].dataType) if c in have.columns else F.lit(None).cast(empty.schema[c].dataType).alias(c) for c in empty.columns]
-        ).write.parquet(paths[name])
+            *[(F.col(f.name) if f.name in have.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+        ).write.format(fmt).save(paths[name])
     raw.land_points.select(
         "podb_land_price_id", "address", "rlc_index_name", F.expr("concat('POINT(', lon, ' ', lat, ')')").alias("point_land_price")
-    ).write.parquet(paths["land_points"])
-    raw.land_series.write.parquet(paths["land_series"])
+    ).write.format(fmt).save(paths["land_points"])
+    raw.land_series.write.format(fmt).save(paths["land_series"])
+    return paths
+
+
+def test_declared_whole_numbers_are_decimals(spark):
+    kinds = {f.name: f.dataType.simpleString() for f in spark.createDataFrame([], schemas.TRAIN).schema}
+    assert kinds["money_room"] == kinds["year_built"] == "decimal(38,0)" and "bigint" not in kinds.values()
+
 
+def test_runs_from_paths_to_paths(spark, tmp_path):
+    raw = fixtures.raw_tables(spark, "/root/testdata/sf0.001")
     out = str(tmp_path / "models")
-    mart = jobs.build_mart(spark, paths, out, years=fixtures.YEARS, land_class=fixtures.LAND_CLASS)
+    settings = {"years": fixtures.YEARS, "land_class": fixtures.LAND_CLASS}
+    paths = landed(spark, raw, str(tmp_path / "parquet"), "parquet")
+    before = set(glob.glob(scratch.shared_folder(spark) + "/tatemono-*/*"))
+    mart = jobs.build_mart(spark, paths, out, **settings)
     assert mart.columns == mart_plan.MART_COLUMNS and mart.count() == 6000
     assert mart.where("nearest_land_price is not null").count() > 100
     assert readers.read_model(spark, f"{out}/nearest_station").count() == 24
-    prices = jobs.score_mart(spark, f"{out}/mart", str(tmp_path / "csv"), rounds=2, depth=3, interaction_feature=True)
-    written = spark.read.schema("id string, price bigint").csv(str(tmp_path / "csv"))
-    assert written.count() == prices.count() == 1638 and written.where("price is null").count() == 0
+    prices = jobs.score_mart(
+        spark, f"{out}/mart", str(tmp_path / "csv"), errors=str(tmp_path / "errors"), rounds=2, depth=3, interaction_feature=True
+    )
+    assert prices.count() == 1638 and prices.where("price is null").count() == 0
+    assert spark.read.parquet(str(tmp_path / "errors")).where("mae > 0 and rounds <= 2").count() == 3
+    assert set(glob.glob(scratch.shared_folder(spark) + "/tatemono-*/*")) == before  # both runs cleaned up
+
+    from_csv = jobs.build_mart(spark, landed(spark, raw, str(tmp_path / "text"), "csv"), str(tmp_path / "models2"), fmt="csv", **settings)
+    tables = {name: spark.read.schema(s).parquet(paths[name]) for name, s in jobs._SCHEMAS.items()}
+    from_tables = jobs.build_mart(spark, tables, str(tmp_path / "models3"), **settings)
+    rows = sorted(map(str, mart.collect()))
+    assert sorted(map(str, from_csv.collect())) == rows and sorted(map(str, from_tables.collect())) == rows
+
+
+def test_land_series_are_filtered_before_the_pivot(spark):
+    plan = land(spark)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")  # the plan reads from its last step to its first
 
 
 def test_features_are_the_same_without_broadcasts_and_from_single_encoders(spark, monkeypatch):

@@ -6,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from tatemono.operators.joins import lookup_join, spread_join
+from tatemono.operators.joins import broadcast_threshold, lookup_join, spread_join
 from tatemono.operators.rows import conditional_pivot, exact_medians, global_row_number, tagged_union
 from tatemono.sources import scratch
 
@@ -142,3 +142,37 @@ def test_spread_join_splits_exact_copies(spark, never_broadcast):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(per_task) == 2000 * 60
     assert max(per_task) < 120_000 / 5
+
+
+def test_broadcast_hot_keys_are_bounded_at_any_size():
+    """Keys above the threshold fit in the limit, because their rows would
+    not fit in the table otherwise; the slice size is never touched."""
+    for total in (10**9, 10**12, 10**15):
+        least = broadcast_threshold(total, 60.0, 32 << 20)
+        assert total // (least + 1) * 60 <= 32 << 20
+    assert broadcast_threshold(10**12, 60.0, 10) is None
+
+
+@pytest.mark.parametrize("limit", [0, 120, 1 << 20])
+def test_large_hot_table_is_split_between_broadcast_and_shuffle(spark, limit):
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 40).alias("key"))
+    dim = dimension(rows.withColumn("key", F.col("key").cast("string"))).withColumn("key", F.col("key").cast("long"))
+    dim = scratch.store(dim, "dim")
+    want = sorted(map(tuple, rows.join(dim.drop("n"), "key", "left").select("id", "key", "first").collect()))
+    got = lookup_join(rows, dim, ["key"], ["id"], "n", slice_rows=20, broadcast_bytes=limit)
+    assert sorted(map(tuple, got.select("id", "key", "first").collect())) == want
+    other = rows.select(F.col("id").alias("r"), "key").where("id < 400")
+    pairs = spread_join(rows, other, ["key"], slice_rows=30, broadcast_bytes=limit)
+    assert pairs.count() == rows.join(other, "key").count()
+
+
+def test_spread_join_stores_no_side_without_a_hot_key(spark, monkeypatch):
+    stored = []
+    real = scratch.store
+    monkeypatch.setattr(scratch, "store", lambda df, name: stored.append(name) or real(df, name))
+    left = spark.range(50).select((F.col("id") % 10).alias("key"), F.col("id").alias("l"))
+    right = spark.range(20).select((F.col("id") % 10).alias("key"), F.col("id").alias("r"))
+    assert spread_join(left, right, ["key"], slice_rows=5).count() == 100
+    assert stored == ["hot"]
+    assert spread_join(left, right, ["key"], slice_rows=4).count() == 100
+    assert stored == ["hot", "hot", "spread", "spread"]
