@@ -44,6 +44,8 @@ MIN_GROUP = 50
 STEPS = 4
 FINE = 64  # steps of the distance per factor e
 
+# words and their characters that every document's rates count besides its own
+PRIOR_WORDS, PRIOR_CHARS = 20, 110
 # deviations below these say nothing
 FLOORS = (0.3, 0.4, 0.05, 0.5, 0.05)
 X = tuple(f"x{i}" for i in range(len(FLOORS)))
@@ -107,10 +109,12 @@ def base_failed() -> Column:
 
 
 def _vector() -> dict[str, Column]:
-    words, chars = F.greatest("n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
+    """Transformed statistics. Rates count some more words of usual length, so
+    that a few words say little about a rate."""
+    words, chars = F.col("n_words") + PRIOR_WORDS, F.col("word_chars") + PRIOR_CHARS
     parts = (
         F.log1p("n_words"),
-        F.col("word_chars") / words,
+        chars / words,
         F.sqrt(F.col("n_symbols") / chars),
         F.log1p("n_dup_lines"),
         F.col("n_repeat_words") / words,
