@@ -8,18 +8,23 @@ from tatemono.sources import fixtures
 
 LATEST, BASE, OLDER = fixtures.YEARS
 
-_LISTING = """
-  cast(building_id as string) as building_id,
-  coalesce(cast(unit_area as double), (cast(unit_area_max as double) + cast(unit_area_min as double)) / 2.0) as house_area,
-  cast(floor_count as double) as floor_count,
-  cast(year_built as int) as year_built,
-  cast(target_ym as int) as target_ym,
-  cast(full_address as string) as full_address,
-  left(cast(full_address as string), 12) as addr_group,
-  cast(lon as double) as lon,
-  cast(lat as double) as lat,
-  cast(eki_name1 as string) as eki_name_raw,
-  cast(walk_distance1 as double) as walk_dist_raw"""
+def _as(kind: str, *names: str) -> list[str]:
+    """Casts; a name may be followed by another one for the result."""
+    parts = [n.split() for n in names]
+    return [f"cast({p[0]} as {kind}) as {p[-1]}" for p in parts]
+
+
+_AREA = "coalesce(cast(unit_area as double), (cast(unit_area_min as double) + cast(unit_area_max as double)) / 2)"
+
+_LISTING = ", ".join(
+    [
+        *_as("varchar", "building_id", "full_address", "eki_name1 eki_name_raw"),
+        *_as("integer", "year_built", "target_ym"),
+        *_as("double", "lon", "lat", "floor_count", "walk_distance1 walk_dist_raw"),
+        f"{_AREA} as house_area",
+        "substr(cast(full_address as varchar), 1, 12) as addr_group",
+    ]
+)
 
 _ORDER = [
     "building_id", "full_address", "target_price", "house_area", "floor_count", "year_built", "target_ym",
@@ -93,31 +98,32 @@ select * from (
   from buildings_by_type p cross join stg_stations s
 ) where dist_m <= 5000""",
     "station": """
-select building_id, data_type, station_name, city_name, dist_m as recovered_walk_dist from (
-  select *, row_number() over (partition by building_id, data_type order by dist_m, station_name, city_name) as rn
-  from station_pairs
-) where rn = 1""",
+select building_id, data_type, min(dist_m) as recovered_walk_dist,
+  first(station_name order by dist_m, station_name nulls last, city_name nulls last) as station_name,
+  first(city_name order by dist_m, station_name nulls last, city_name nulls last) as city_name
+from station_pairs group by building_id, data_type""",
+    "land_pairs": f"""
+select spot.building_id, place.podb_land_price_id, place.price_{LATEST} as now, place.price_{BASE} as earlier,
+  {_dist("spot.lon", "spot.lat", "place.land_lon", "place.land_lat")} as metres
+from buildings spot, stg_land place""",
     "land": f"""
-select building_id, price_{LATEST} as nearest_land_price, price_{BASE} as land_price_{BASE},
-  (price_{LATEST} - price_{BASE}) / nullif(price_{BASE}, 0) as land_growth_rate
+select building_id, now as nearest_land_price, earlier as land_price_{BASE},
+  case when earlier <> 0 then (now - earlier) / earlier end as land_growth_rate
 from (
-  select *, row_number() over (partition by building_id order by dist_m, podb_land_price_id) as rn
-  from (
-    select b.building_id, l.*, {_dist("b.lon", "b.lat", "l.land_lon", "l.land_lat")} as dist_m
-    from buildings b cross join stg_land l
-  ) where dist_m <= 5000
-) where rn = 1""",
+  select building_id, unnest(first({{'now': now, 'earlier': earlier}} order by metres, podb_land_price_id))
+  from land_pairs where metres <= 5000 group by building_id
+)""",
+    "facts": """
+select * from (select distinct building_id, data_type from buildings_by_type)
+left join (select building_id, data_type, station_name as nearest, city_name, recovered_walk_dist from station)
+  using (building_id, data_type)
+left join land using (building_id)""",
     "mart": f"""
-select f.id, f.data_type, f.target_price, f.house_area, f.floor_count, {_AGE} as building_age, f.lon, f.lat,
-  f.building_id, f.full_address, f.addr_group,
-  case when f.eki_name_raw is null or f.eki_name_raw = '＊＊＊＊' then s.station_name else f.eki_name_raw end
-    as station_name,
-  s.city_name,
-  round(coalesce(f.walk_dist_raw * 80, s.recovered_walk_dist), 3) as final_walk_dist,
-  l.nearest_land_price, l.land_growth_rate
-from base f
-left join station s on f.building_id = s.building_id and f.data_type = s.data_type
-left join land l on f.building_id = l.building_id""",
+select id, data_type, target_price, house_area, floor_count, {_AGE} as building_age, lon, lat, building_id,
+  full_address, addr_group, if(coalesce(eki_name_raw, '＊＊＊＊') = '＊＊＊＊', nearest, eki_name_raw) as station_name,
+  city_name, round(ifnull(80 * walk_dist_raw, recovered_walk_dist), 3) as final_walk_dist,
+  nearest_land_price, land_growth_rate
+from base left join facts using (building_id, data_type)""",
     "aged": f"select *, {_AGE} as building_age from base",
     "imputed": """
 select * replace (

@@ -342,7 +342,7 @@ def gbt_gate(spark, sf_dir):
     """Planted target: the held-out error is below half of the error of the
     median guess, in each fold; every test listing is priced."""
     mart = Tables(spark, sf_dir, planted=True).stored_mart()
-    scored = score_plan.fit_and_score(mart, rounds=200, first_rounds=50, patience=20, learning_rate=0.2, depth=5)
+    scored = score_plan.fit_and_score(mart, rounds=40, first_rounds=20, patience=5, learning_rate=0.3, depth=5)
     train = mart.where("data_type = 'train'")
     middle = train.agg(F.median("target_price")).first()[0]
     guess = model.mean_absolute_error(train.withColumn("_guess", F.lit(middle)), "target_price", "_guess").first()["mae"]
