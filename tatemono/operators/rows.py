@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tatemono.sources import scratch
 
+BLOCK_VALUES = 100_000  # distinct values that the median looks at in one task
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above these
 
 
@@ -57,7 +58,8 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
     two of an even count, ``None`` without any value.
 
     Values are counted first, so that copies cost nothing, then put in global
-    order. Only the ranges that hold a middle rank are sorted by a window.
+    order. Counts of blocks of neighbours tell which blocks hold a middle rank;
+    only those are sorted by a window, at most ``BLOCK_VALUES`` rows each.
     """
     values = df.select(
         F.explode(
@@ -70,14 +72,15 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
         .agg(F.count(F.lit(1)).alias("n"))
     )
     placed = _range_sorted(counted, [F.col("name"), F.col("value")], "median")
+    placed = placed.withColumn("_block", F.floor(F.col("_pos") / F.lit(BLOCK_VALUES)))
+    block = ["name", "_part", "_block"]
     by_name = Window.partitionBy("name")
-    before = by_name.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = by_name.orderBy("_part", "_block").rowsBetween(Window.unboundedPreceding, -1)
     ranges = (
-        placed.groupBy("name", "_part")
+        placed.groupBy(*block)
         .agg(F.sum("n").alias("rows"))
         .select(
-            "name",
-            "_part",
+            *block,
             "rows",
             F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"),
             F.sum("rows").over(by_name).alias("total"),
@@ -90,10 +93,10 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
 
     middle = ranges.where(
         holds(low, F.col("before"), F.col("rows")) | holds(high, F.col("before"), F.col("rows"))
-    ).select("name", "_part", "before", "total")
-    running = Window.partitionBy("name", "_part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    # at most two ranges per column, so the broadcast side stays tiny
-    ranked = placed.join(F.broadcast(middle), ["name", "_part"]).withColumn(
+    ).select(*block, "before", "total")
+    running = Window.partitionBy(*block).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    # at most two blocks per column, so the broadcast side stays tiny
+    ranked = placed.join(F.broadcast(middle), block).withColumn(
         "start", F.col("before") + F.coalesce(F.sum("n").over(running), F.lit(0))
     )
     start, size = F.col("start"), F.col("n")

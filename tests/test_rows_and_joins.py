@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from tatemono.operators import rows as rows_module
 from tatemono.operators.joins import broadcast_threshold, lookup_join, spread_join
 from tatemono.operators.rows import conditional_pivot, exact_medians, global_row_number, tagged_union
 from tatemono.sources import scratch
@@ -47,6 +48,13 @@ def test_median_equals_the_sorted_middle(spark, seed):
     }
 
 
+def test_median_looks_at_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(rows_module, "BLOCK_VALUES", 3)
+    values = [float(i * 7 % 101) for i in range(100)] + [50.0] * 9
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert exact_medians(df, ["x"]) == {"x": statistics.median(values)}
+
+
 def test_median_small_cases(spark):
     def median(values):
         return exact_medians(spark.createDataFrame([(v,) for v in values], "x double"), ["x"])["x"]
