@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tatemono.llm.text import Rows, values
+from tatemono.llm.text import Rows, rows_in
 
 LENGTH = 2048
 OPEN = 256
@@ -39,6 +40,20 @@ _COLUMNS = "doc_id long, piece int, start long, length long, ids binary, sequenc
 _SEQUENCE_BITS = 40  # sequences of a task are numbered below these
 
 
+_LATIN_END = "\u0250"  # letters below it are whole characters in every normal form
+
+
+def _byte_names() -> dict[int, str]:
+    """The characters by which byte-level vocabularies name bytes: printable
+    ones name themselves, the others get the characters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_NAMES = _byte_names()
+
+
 class OpenBins:
     """Online best fit with at most ``most`` open bins of one capacity."""
 
@@ -77,27 +92,47 @@ class OpenBins:
 class WordIds(dict):
     """Token ids of single words, as bytes of 32-bit numbers.
 
-    The tokenizer never joins text across white space, so a text's ids are its
-    words' ids in a row. Words come again and again; each is encoded once,
-    until ``most`` of them are known and the table starts anew.
+    The tokenizer lower-cases, and never joins text across white space or a
+    letter with a full stop or comma, so a text's ids are those of its words in
+    a row. Words come again and again; each is encoded once. Beyond ``most``
+    words the table becomes the old one and a new one begins; words that are
+    still in use move over.
     """
 
-    def __init__(self, path: str, most: int = 400_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 200_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
         self.most, self.longest = most, longest
+        self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        found = np.array(ids, "<u4").tobytes()
+        found = self.old.get(word)
+        if found is None:
+            found = self._encoded(word)
         if len(word) <= self.longest:
             if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
             self[word] = found
         return found
 
+    def _encoded(self, word: bytes) -> bytes:
+        text = word.decode("utf-8")
+        if not text.isascii() and text.isalpha() and max(text) < _LATIN_END and "\u0130" not in text:
+            text = text.lower()
+        if text.isalpha() and text.islower() and max(text) < _LATIN_END:
+            # letters in lower case are one piece, which only needs its bytes named
+            named = text.encode().decode("latin-1").translate(_BYTE_NAMES)
+            return array("I", [token.id for token in self.merges.tokenize(named)]).tobytes()
+        if len(text) > 1 and text[-1] in ".," and text[-2].isalpha() and text[-2] < _LATIN_END:
+            return self[word[:-1]] + self[word[-1:]]
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def text(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+        # special tokens are told apart by case
+        lower = text if b"<|" in text else text.lower()
+        return b"".join(map(self.__getitem__, lower.split()))
 
 
 _encoders: dict[str, WordIds] = {}
@@ -141,7 +176,7 @@ def pack(
         encode, bins, rows = encoder(path), OpenBins(length, most_open), Rows(schema)
         base = TaskContext.get().partitionId() << _SEQUENCE_BITS
         for batch in batches:
-            for doc_id, text in zip(values(batch, "doc_id"), values(batch, "text"), strict=True):
+            for doc_id, text in rows_in(batch, "doc_id", "text"):
                 ids = encode.text(text or b"") + last
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]

@@ -27,12 +27,25 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def rows_in(batch: pa.RecordBatch, *names: str, at_once: int = 256) -> Iterator[tuple]:
+    """Rows of some columns as Python values, strings as UTF-8 bytes. Few rows
+    at once are turned into Python objects."""
+    for at in range(0, batch.num_rows, at_once):
+        part = batch.slice(at, at_once)
+        columns = []
+        for name in names:
+            column = part.column(batch.schema.get_field_index(name))
+            if pa.types.is_string(column.type):
+                column = column.cast(pa.binary())
+            elif pa.types.is_large_string(column.type):
+                column = column.cast(pa.large_binary())
+            columns.append(column.to_pylist())
+        yield from zip(*columns, strict=True)
+
+
 def values(batch: pa.RecordBatch, name: str) -> list:
     """A column as Python values; strings as UTF-8 bytes."""
-    column = batch.column(batch.schema.get_field_index(name))
-    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
-        column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
-    return column.to_pylist()
+    return [row[0] for row in rows_in(batch, name)]
 
 
 class Rows:

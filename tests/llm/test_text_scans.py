@@ -148,7 +148,7 @@ def test_best_fit_takes_the_fullest_and_closes_the_fullest():
 
 def test_packing_against_the_plain_tokenizer(spark):
     rng = random.Random(5)
-    words = ["Hello", "naïve", "don't", "日本語", "x" * 90, "1234", "a.b", "<|endoftext|>", "\u00a0x", "É", "ß"]
+    words = ["Hello", "naïve", "don't", "日本語", "x" * 90, "1234", "a.b", "<|endoftext|>", "\u00a0x", "É", "ß", "ÉTÉ,", "straße.", "İx", "e\u0301,", "ŉ", "a,,", "don't.", "<|ENDOFTEXT|>", "Ŀ.", "ª"]
     texts = [" ".join(rng.choices(words, k=rng.choice([1, 5, 50, 3000]))) for _ in range(30)]
     texts += [None, "", "  \n ", texts[0], texts[0]]
     docs = spark.createDataFrame([(t, i, "x") for i, t in enumerate(texts)], "text string, doc_id long, ids string")
