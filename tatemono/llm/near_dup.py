@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tatemono.llm.components import connected_components
 from tatemono.llm.shingles import MinHash, fingerprint, shingle_set
-from tatemono.llm.text import Rows, fresh, values
+from tatemono.llm.text import Rows, fresh, rows_in
 from tatemono.operators.joins import lookup_join
 from tatemono.sources import scratch
 
@@ -69,7 +69,7 @@ def _sketcher(bands: Bands):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash, rows = MinHash(bands.bands, bands.rows), Rows(schema)
         for batch in batches:
-            for doc_id, text in zip(values(batch, "doc_id"), values(batch, "text"), strict=True):
+            for doc_id, text in rows_in(batch, "doc_id", "text"):
                 found = shingle_set(text)
                 if len(found):
                     keys = minhash.keys(minhash.signature(found))
@@ -94,7 +94,7 @@ def _set_maker(bands: Bands):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash, rows = MinHash(bands.bands, bands.rows), Rows(schema)
         for batch in batches:
-            for doc_id, text in zip(values(batch, "doc_id"), values(batch, "text"), strict=True):
+            for doc_id, text in rows_in(batch, "doc_id", "text"):
                 found = shingle_set(text)
                 signature = (minhash.signature(found) >> 33).astype("int32")
                 yield from rows.add((doc_id, len(found), signature, found.view("int64")), 8 * len(found) + 600)
@@ -181,7 +181,7 @@ def _set_bytes():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(schema)
         for batch in batches:
-            for doc_id, text in zip(values(batch, "doc_id"), values(batch, "text"), strict=True):
+            for doc_id, text in rows_in(batch, "doc_id", "text"):
                 found = shingle_set(text).tobytes()
                 yield from rows.add((doc_id, found), len(found) + 40)
         yield from rows.flush()
@@ -219,8 +219,7 @@ def _tile_reader(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, sides, here = Rows(schema), ([], []), None
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
-            for *tile, is_left, rep, group, shingles in zip(*columns, strict=True):
+            for *tile, is_left, rep, group, shingles in rows_in(batch, *batch.schema.names):
                 if tile != here:
                     for pair in tile_links(*sides, percent):
                         yield from rows.add(pair, 16)

@@ -43,11 +43,6 @@ def rows_in(batch: pa.RecordBatch, *names: str, at_once: int = 256) -> Iterator[
         yield from zip(*columns, strict=True)
 
 
-def values(batch: pa.RecordBatch, name: str) -> list:
-    """A column as Python values; strings as UTF-8 bytes."""
-    return [row[0] for row in rows_in(batch, name)]
-
-
 class Rows:
     """Collects output rows and hands them on in batches of bounded bytes."""
 
