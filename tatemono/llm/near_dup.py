@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tatemono.llm.components import connected_components
 from tatemono.llm.shingles import MinHash, fingerprint, shingle_set
-from tatemono.llm.text import Rows, fresh, rows_in
+from tatemono.llm.text import Rows, fresh, rows_in, task
 from tatemono.operators.joins import lookup_join
 from tatemono.sources import scratch
 
@@ -66,6 +66,7 @@ def _sketcher(bands: Bands):
         [("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("keys", pa.list_(pa.int64()))]
     )
 
+    @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash, rows = MinHash(bands.bands, bands.rows), Rows(schema)
         for batch in batches:
@@ -91,6 +92,7 @@ def _set_maker(bands: Bands):
         ]
     )
 
+    @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minhash, rows = MinHash(bands.bands, bands.rows), Rows(schema)
         for batch in batches:
@@ -178,6 +180,7 @@ def _with_components(rows: DataFrame, node: str, components: DataFrame, out: str
 def _set_bytes():
     schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
 
+    @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(schema)
         for batch in batches:
@@ -216,6 +219,7 @@ def _tile_reader(percent: int):
     """Reads tiles one after the other; a tile's rows are neighbours."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, sides, here = Rows(schema), ([], []), None
         for batch in batches:
@@ -329,18 +333,22 @@ def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the smallest of its component, one row
     per doc_id; rows without doc_id stay."""
-    kept = near_duplicates(docs, bands).where(F.col("kept") & F.col("doc_id").isNotNull())
-    ids = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_near_rows"))
-    ids = scratch.store(ids, "kept")
-    once = docs.join(ids.where("_near_rows = 1").select("doc_id"), "doc_id", "left_semi")
-    again = ids.where("_near_rows > 1").select("doc_id")
-    parts = [once.select(*docs.columns), docs.where(F.col("doc_id").isNull())]
-    if not again.isEmpty():
-        # rows that share a doc_id: one stays, the smallest by all its columns
-        number = fresh(docs, "_near_rank")
-        rows = docs.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias(number))
-        parts.append(rows.select(f"{number}.*"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    judged = scratch.store(near_duplicates(docs, bands).select("doc_id", "kept"), "judged")
+    out = _without(docs, scratch.store(judged.where(~F.col("kept")).select("doc_id").distinct(), "dropped"))
+    known = judged.where(F.col("kept") & F.col("doc_id").isNotNull())
+    again = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("doc_id")
+    again = scratch.store(again, "again")
+    if again.isEmpty():
+        return out
+    # rows that share a doc_id: one stays, the smallest by all its columns
+    row = fresh(docs, "_row")
+    one = docs.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias(row))
+    return _without(out, again).unionByName(one.select(f"{row}.*"))
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not in a stored table."""
+    small = scratch.measure(ids).broadcastable
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+
+

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -43,6 +45,29 @@ def rows_in(batch: pa.RecordBatch, *names: str, at_once: int = 256) -> Iterator[
         yield from zip(*columns, strict=True)
 
 
+def _release_memory() -> None:
+    """Gives memory that is free in this Python worker back to the machine.
+    Workers outlive their tasks and serve other operators."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
+def task(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a task that releases memory at its end."""
+
+    @wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _release_memory()
+
+    return whole
+
+
 class Rows:
     """Collects output rows and hands them on in batches of bounded bytes."""
 
