@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tatemono.llm.text import Rows, rows_in
+from tatemono.llm.text import Rows, rows_in, task
 
 LENGTH = 2048
 OPEN = 256
@@ -99,7 +99,7 @@ class WordIds(dict):
     still in use move over.
     """
 
-    def __init__(self, path: str, most: int = 200_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 150_000, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model
@@ -172,6 +172,7 @@ def pack(
     )
     last = np.array([end_id], "<u4").tobytes()
 
+    @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, bins, rows = encoder(path), OpenBins(length, most_open), Rows(schema)
         base = TaskContext.get().partitionId() << _SEQUENCE_BITS

@@ -26,13 +26,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tatemono.llm.passages import FEATURES, WORDS, encode
-from tatemono.llm.text import Rows, rows_in
+from tatemono.llm.text import Rows, rows_in, task
 
 FOLDS, HELD_OUT = 3, 1
 
@@ -152,6 +151,7 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> AttentionMil:
     """The model of a bounded sample of labelled documents."""
     rows_of = pa.schema([("doc_id", pa.int64()), ("passages", pa.binary())])
 
+    @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(rows_of)
         for batch in batches:
@@ -175,13 +175,21 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> AttentionMil:
     return AttentionMil(fit).fit(bags, np.array([chosen[found["doc_id"][i]] for i in order], np.float32))
 
 
+def _scores(model: AttentionMil):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            batch = pa.record_batch([texts], ["text"])
+            yield pa.array([model.score(encode(text)) for (text,) in rows_in(batch, "text")], pa.float64())
+
+    return run
+
+
 def quality_score(text: Column, model: AttentionMil) -> Column:
     """Score of every whole text, from 0 to 1."""
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        bags = (encode(t.encode("utf-8", "surrogatepass") if t else None) for t in texts)
-        return pd.Series([model.score(bag) for bag in bags], dtype="float64")
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from task(_scores(model))(texts)
 
     return scored(text)
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tatemono.llm.automaton import Dfa, Pattern
-from tatemono.llm.text import Rows, rows_in
+from tatemono.llm.text import Rows, rows_in, task
 
 
 @dataclass(frozen=True)
@@ -120,6 +120,7 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
     schema = pa.schema([("doc_id", pa.int64()), ("spans", pa.list_(span))])
 
+    @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled, rows = scanner(rules), Rows(schema)
         for batch in batches:
@@ -159,20 +160,27 @@ def _redacted(text: str, found: list[tuple[int, str, int]]) -> str:
     return "".join([*parts, text[at:]])
 
 
+def _cleaned(rules: tuple[Rule, ...]):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        compiled = scanner(rules)
+        for texts in batches:
+            found = []
+            for (text,) in rows_in(pa.record_batch([texts], ["text"]), "text"):
+                spans = compiled.spans(text) if text else []
+                found.append(_redacted(text.decode("utf-8", "replace"), spans).encode() if spans else text)
+            yield pa.array(found, pa.binary()).cast(pa.string())
+
+    return run
+
+
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """All rows and columns of ``docs``; in the texts every span is replaced
     by its kind in brackets, and ``n_chars``, if there, follows. A text
     without a secret stays as it is."""
 
-    @F.pandas_udf("string")
-    def clean(texts):
-        compiled = scanner(rules)
-
-        def one(text):
-            found = compiled.spans(text.encode("utf-8", "surrogatepass")) if text else []
-            return _redacted(text, found) if found else text
-
-        return texts.map(one, na_action="ignore")
+    @F.arrow_udf("string")
+    def clean(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from task(_cleaned(rules))(texts)
 
     out = docs.withColumn("text", clean(F.col("text")))
     if "n_chars" in docs.columns:
