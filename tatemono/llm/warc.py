@@ -11,7 +11,8 @@ header names its successor, the offset where its declared length ends. Pointer
 jumping from the start of each file, with the length of the jump doubled in
 every round, retains the records that the chain of successors reaches, and
 nothing else. A record whose payload holds the magic is put together again
-from its pieces.
+from its pieces. Their texts are read once more and found by their digests, so
+the two reads may split the files differently.
 
 Nulls and edges: a NULL html is an empty payload, a NULL url gives no target
 header, and a NULL page_id no record id; such a row never is the original of
@@ -94,7 +95,8 @@ def _number(head: Column, name: str, value: str) -> Column:
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """What lies between occurrences of the magic. ``at`` orders the pieces of
-    a block of a file; it is the same whenever the files are read."""
+    a block of a file. ``block`` and ``at`` depend on how the files are split,
+    so they hold for one read only."""
     return spark.read.option("lineSep", MAGIC).text(path).select(
         F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -103,6 +105,11 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _content() -> dict[str, Column]:
+    """Digests of two kinds of a piece; where equal, the pieces are."""
+    return {"content": F.sha1(F.col("value").cast("binary")), "content_check": F.xxhash64("value")}
+
+
 def _candidates(spark: SparkSession, path: str, payloads: bool) -> DataFrame:
     """Stored pieces with what their headers say."""
     rows = _pieces(spark, path).withColumns(
@@ -117,6 +124,7 @@ def _candidates(spark: SparkSession, path: str, payloads: bool) -> DataFrame:
     payload = F.when(F.col("whole"), _payload(F.col("value")))
     rows = rows.select(
         "file", "block", "at", "size", "head_bytes", "length", "whole",
+        *[c.alias(n) for n, c in _content().items()],
         _field(head, "WARC-Type").alias("record_type"),
         _number(head, "WARC-Record-ID", r"<urn:page:(-?\d{1,19})>").alias("page_id"),
         _field(head, "WARC-Target-URI").alias("url"),
@@ -169,7 +177,20 @@ def reachable(nodes: DataFrame) -> DataFrame:
     return nodes.where("reached").select("file", "off")
 
 
-def _assembled(spark: SparkSession, path: str, cut: DataFrame, nodes: DataFrame, records: DataFrame) -> DataFrame:
+def _texts(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """Stored ``value`` of each content in ``wanted``, and ``_count``, how many
+    pieces have it. Only the contents link this read to the first one."""
+    contents = list(_content())
+    counts = scratch.store(wanted.groupBy(*contents).agg(F.count(F.lit(1)).alias("_count")), "contents")
+    if scratch.measure(counts).broadcastable:
+        counts = F.broadcast(counts)
+    found = _pieces(spark, path).withColumns(_content()).join(counts, contents)
+    return scratch.store(found.groupBy(*contents).agg(F.first("value").alias("value"), F.first("_count").alias("_count")), "texts")
+
+
+def _assembled(
+    spark: SparkSession, path: str, cut: DataFrame, nodes: DataFrame, records: DataFrame, pieces: DataFrame
+) -> DataFrame:
     """``file, off, payload`` of the records ``cut`` (with ``file, off,
     head_bytes, length``), whose payload holds the magic. A piece belongs to
     the last record that begins at or before it."""
@@ -181,10 +202,10 @@ def _assembled(spark: SparkSession, path: str, cut: DataFrame, nodes: DataFrame,
     inside = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     owner = F.coalesce(F.max("begins").over(inside), F.col("carried"))
     owned = begins.select("file", "block", "at", F.col("off").alias("place"), owner.alias("off"))
-    wanted = scratch.store(owned.join(cut, ["file", "off"]), "wanted")
-    if scratch.measure(wanted).broadcastable:
-        wanted = F.broadcast(wanted)
-    texts = _pieces(spark, path).join(wanted, ["file", "block", "at"])
+    contents = list(_content())
+    owned = owned.join(cut, ["file", "off"]).join(pieces.select("file", "block", "at", *contents), ["file", "block", "at"])
+    wanted = scratch.store(owned.drop("block", "at"), "wanted")
+    texts = lookup_join(wanted, _texts(spark, path, wanted), contents, ["file", "place"], "_count")
     grouped = texts.groupBy("file", "off", "head_bytes", "length").agg(
         F.array_sort(F.collect_list(F.struct("place", "value"))).alias("parts")  # one record
     )
@@ -208,7 +229,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     found = scratch.store(placed.join(pieces, ["file", "block", "at"]), "found")
     cut = found.where(~F.col("whole") & F.col("length").isNotNull())
     if not cut.isEmpty():
-        joined = _assembled(spark, path, cut.select("file", "off", "head_bytes", "length"), nodes, records)
+        joined = _assembled(spark, path, cut.select("file", "off", "head_bytes", "length"), nodes, records, pieces)
         found = found.join(joined, ["file", "off"], "left").withColumns(
             {
                 "digest": F.coalesce("digest", sha1_base32(F.col("whole_payload"))),

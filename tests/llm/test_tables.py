@@ -152,6 +152,30 @@ def test_archives_round_trip(spark, split):
     assert {r["url"] for r in records} == {None, "http://a/%0D%0AX: 1"}
 
 
+def test_payloads_do_not_depend_on_how_a_later_read_is_split(spark, monkeypatch):
+    """As if executors came or went between the reads of the archives."""
+    rows = archive_rows()
+    pages = spark.createDataFrame([(p, "http://a/", h) for p, h in rows if p is not None], "page_id long, url string, html string")
+    path, setting = scratch.new_path(spark, "warc"), "spark.sql.files.maxPartitionBytes"
+    warc.write_warc(pages.repartition(3), path)
+    before, first_read = spark.conf.get(setting), warc._candidates
+
+    def then_split_anew(*args):
+        pieces = first_read(*args)
+        spark.conf.set(setting, "40k")
+        return pieces
+
+    monkeypatch.setattr(warc, "_candidates", then_split_anew)
+    spark.conf.set(setting, "64k")
+    try:
+        records = warc.read_warc(spark, path).collect()
+    finally:
+        spark.conf.set(setting, before)
+    texts = dict(rows)
+    assert len(records) == pages.count() and all(r["valid"] for r in records)
+    assert all(bytes(r["payload"]).decode() == (texts[r["page_id"]] or "") for r in records if r["record_type"] == "response")
+
+
 def test_archive_without_rows_and_with_a_least_size(spark):
     pages = spark.createDataFrame([(1, None, "abc"), (2, None, "abc"), (3, None, "abcdef"), (4, None, "abcdef")], "page_id long, url string, html string")
     assert warc.round_trip(pages.limit(0)).count() == 0
