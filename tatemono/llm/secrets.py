@@ -32,12 +32,14 @@ from tatemono.llm.text import Rows, rows_in, task
 @dataclass(frozen=True)
 class Rule:
     """Matches of ``pattern`` with at least ``least`` characters, counted after
-    ``prefix`` where that is given."""
+    ``prefix`` where that is given. A match reaches on over ``tail``, which may
+    be empty and is no part of the automata that look for matches."""
 
     kind: str
     pattern: Pattern
     prefix: Pattern | None = None
     least: int = 0
+    tail: str = ""
 
 
 _ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -49,9 +51,18 @@ BASE = (
     # a shorter run holds no match, so here the bound may be part of the pattern
     Rule("hex", Pattern("[0-9a-f]{24,}")),
 )
+# Line ends may be written as escapes or have become spaces.
+_GAP = r"([\x20\t\r\n]|\\[rn])+"
+_HEADERS = rf"({_GAP}(Proc-Type|DEK-Info):[\x20A-Za-z0-9,-]*)*"
+# A key's body up to its END line, or without one its run of base64 lines, of
+# which the last may be short.
+_KEY_BODY = (
+    _HEADERS + r"(([A-Za-z0-9+/=\x20\t\r\n]|\\[rn])*-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|({_GAP}[A-Za-z0-9+/]{{16,}}={{0,2}})+((\r?\n|\\n)[A-Za-z0-9+/]{{1,15}}={{0,2}})?)?"
+)
 # Rules that can be inside a match at the same time multiply the states.
 MORE = (
-    Rule("private_key", Pattern("-----BEGIN [A-Z ]*PRIVATE KEY-----")),
+    Rule("private_key", Pattern("-----BEGIN [A-Z ]*PRIVATE KEY-----"), tail=_KEY_BODY),
     Rule("github", Pattern("gh[opsur]_[A-Za-z0-9]+"), least=40),
     Rule("slack", Pattern("xox[abprs]-[A-Za-z0-9-]+"), least=15),
 )
@@ -67,7 +78,7 @@ class Scanner:
         self.all = Dfa(patterns, anywhere=True)
         self.own = [Dfa([p], anywhere=True) for p in patterns]
         self.back = [Dfa([p], backwards=True) for p in patterns]
-        self.ahead = [Dfa([p]) for p in patterns]
+        self.ahead = [Dfa([Pattern(r.pattern.text + r.tail, r.pattern.ignore_case)]) for r in self.rules]
         self.prefix = [Dfa([r.prefix]) if r.prefix else None for r in self.rules]
 
     def matches(self, data: bytes) -> list[tuple[int, int, int]]:

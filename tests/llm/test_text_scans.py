@@ -64,6 +64,18 @@ def test_added_kinds():
     assert [k for _, k, _ in secrets.Scanner().spans(text.encode())] == ["private_key", "github", "slack"]
 
 
+def test_a_private_key_is_redacted_with_its_body(spark):
+    rng = random.Random(4)
+    body = ["".join(rng.choices("ABCXYZabcxyz0189+/", k=n)) for n in (64, 64, 64, 22)]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n"
+    whole = [gap.join([begin, *body, end]) for gap in ("\n", "\r\n", " ", "\\n", "\n  ")] + [f"{begin}\n{headers}" + "\n".join([*body, "Qw==", end])]
+    cut = ["\n".join([begin, *body]), "\n".join([begin, *body, "Qw=="]), f"{begin}\n{headers}{body[0]}", begin]
+    texts = [f"é before {key}\n\nan end, no key\n{key}" for key in whole + cut]
+    docs = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "text string, doc_id long")
+    assert {r["text"] for r in secrets.redact(docs).collect()} == {"é before [private_key]\n\nan end, no key\n[private_key]"}
+
+
 def test_long_text_of_matches_is_scanned_whole():
     text = "é token=abcdef " * 20_000 + "f" * 200_000
     spans = secrets.Scanner().spans(text.encode())
