@@ -5,15 +5,19 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from test_near_dup import plain as plain_components
+from test_text_scans import plain_spans
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tatemono.llm import chat, mixing, outliers, quality_mil, sql, topk, warc
+from tatemono.llm import chat, mixing, outliers, packing, quality_mil, sql, topk, warc
 from tatemono.llm.passages import FEATURES, encode
 from tatemono.llm.queries import QUERIES
 from tatemono.sources import scratch
@@ -335,6 +339,61 @@ def test_pipeline_stage_by_stage(spark):
     assert packed.where("length > 2048").isEmpty()
 
 
+KEY = "-----BEGIN PRIVATE KEY-----\n" + "Ab1/" * 16 + "\n" + "Zz9+" * 5 + "==\n-----END PRIVATE KEY-----"
+MORE_KINDS = {
+    "private_key": "-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\\s]*-----END [A-Z ]*PRIVATE KEY-----",
+    "github": "gh[opsur]_[A-Za-z0-9]{36,}",
+    "slack": "xox[abprs]-[A-Za-z0-9-]{10,}",
+}
+
+
+def plain_redaction(text):
+    spans = plain_spans(text) + [(m.start(), k, m.end()) for k, p in MORE_KINDS.items() for m in re.finditer(p, text)]
+    out, at = "", 0
+    for start, kind, end in sorted(spans, key=lambda s: s[0]):
+        if start >= at:
+            out += text[at:start] + f"[{kind}]"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_pipeline_against_plain_stages(spark, tmp_path):
+    rng = random.Random(12)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    first = table.join(labels, "doc_id", "left_semi").orderBy("doc_id").limit(120).select("doc_id", "text", "source").collect()
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in first]
+    for n, (_, text, source) in enumerate(rows[:60]):
+        words = text.split(" ")
+        if n % 2:
+            words[-1] = "changed"  # a near duplicate
+        else:
+            words = rng.sample(words, len(words))
+            secret = rng.choice([KEY, "token=abcdefgh1", "ghp_" + "Zx" * 20, "xoxb-123456789012", "AKIA" + "Q7" * 9, "deadbeef" * 4])
+            words.insert(len(words) // 2, secret)
+        rows.append((10**7 + n, " ".join(words), source))
+    schema = "doc_id long, text string, source string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    got = Counter((r["doc_id"], r["piece"], r["start"], r["length"], bytes(r["ids"])) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+
+    model = quality_mil.train(spark.createDataFrame(rows, schema), labels)
+    good = [r for r in rows if model.score(encode(r[1].encode())) >= 0.5]
+    groups = plain_components([r[:2] for r in good])
+    single = [r for r in good if groups[r[0]][1] == r[0]]
+    clean = [(i, plain_redaction(t), s) for i, t, s in single]
+    assert len(rows) > len(good) > len(single) and sum(a != b for a, b in zip(single, clean, strict=True)) > 5
+    arrow = pa.table({n: pa.array([r[i] for r in clean], t) for i, (n, t) in enumerate([("doc_id", pa.int64()), ("text", pa.string()), ("source", pa.string())])})
+    times = {doc_id: taken // size for doc_id, size, _, taken, _ in reference(sql.MIX, documents=arrow) if taken}
+    plain, want = Tokenizer.from_file(packing.vocabulary_path()), Counter()
+    for doc_id, text, _ in clean:
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 0]
+        for piece, at in enumerate(range(0, len(ids), packing.LENGTH)):
+            part = ids[at : at + packing.LENGTH]
+            want[doc_id, piece, at, len(part), np.array(part, "<u4").tobytes()] += times.get(doc_id, 0)
+    assert got == +want
+
+
 def test_pipeline_on_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for name, stage in corpus_pipeline.STAGES:
