@@ -3,7 +3,7 @@
 Each document's statistics become a vector. Per language and source the
 minimum-covariance-determinant estimate is found by concentration steps: the
 three quarters of the vectors nearest to the current centre give the next
-centre and covariance. Two starts are tried, medians with absolute deviations
+centre and covariance, until the determinant falls no more. Two starts are tried, medians with absolute deviations
 and the plain moments, and the one with the smaller determinant is used. A
 document whose squared Mahalanobis distance exceeds the cutoff is rejected.
 
@@ -41,7 +41,7 @@ SHARE = 0.75  # of a group that the estimate covers
 SHARE_QUANTILE = 6.6257  # of chi-square with 5 degrees of freedom at SHARE
 CUTOFF = 36.0  # about the 0.999999 quantile
 MIN_GROUP = 50
-STEPS = 4
+LEAST_FALL = 1e-6  # of the logarithm of the determinant; less counts as none
 FINE = 64  # steps of the distance per factor e
 
 # words and their characters that every document's rates count besides its own
@@ -203,20 +203,29 @@ def estimates(rows: DataFrame) -> DataFrame:
     and the consistency factor ``scale``."""
     sizes = scratch.store(rows.groupBy("group").agg(F.count(F.lit(1)).alias("_count")), "groups")
     by = ["group", "start"]
-    model = _factored(_starts(rows), by)
-    for _ in range(STEPS):
-        near = _with_distance(rows, model, sizes)
-        cuts = _cuts(near, by)
-        chosen = scratch.store(cuts.join(sizes, "group"), "cuts")
-        half = _near_cut(near, chosen)
-        model = _factored(_moments(half, by), by)
-    model = scratch.store(model, "models")
+    model = moving = _concentrated(rows, _factored(_starts(rows), by), sizes)
+    while not moving.isEmpty():
+        # what no longer falls has its result; ends, as a determinant has its floors
+        further = _concentrated(rows, moving, sizes)
+        before = model.select(*by, F.col("log_det").alias("_before"))
+        fell = further.join(before, by).where(F.col("log_det") < F.col("_before") - F.lit(LEAST_FALL)).drop("_before")
+        moving = scratch.store(fell, "moving")
+        model = scratch.store(model.join(moving, by, "left_anti").unionByName(moving), "models")
     near = _with_distance(rows, model, sizes)
     cuts = _cuts(near, by).select("group", "start", F.greatest(F.exp((F.col("cut") + 1) / FINE) / SHARE_QUANTILE, F.lit(1.0)).alias("scale"))
     best = model.groupBy("group").agg(F.min_by("start", F.struct("log_det", "start")).alias("start"))
     return model.join(best, by).join(cuts, by).drop("start", "log_det")
 
 
+def _concentrated(rows: DataFrame, model: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Stored model after one concentration step, for the groups and starts
+    of ``model``."""
+    by = ["group", "start"]
+    near = _with_distance(rows, model, sizes).where(F.col("start").isNotNull())
+    chosen = scratch.store(_cuts(near, by).join(sizes, "group"), "cuts")
+    return scratch.store(_factored(_moments(_near_cut(near, chosen), by), by), "step")
+
+
 def _near_cut(near: DataFrame, cuts: DataFrame) -> DataFrame:
     """Rows not beyond their group's cut."""
     dim = cuts.groupBy("group").agg(

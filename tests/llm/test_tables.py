@@ -235,6 +235,19 @@ def test_outliers_are_rejected_and_clean_documents_stay(spark):
     assert not any(k for i, k in kept.items() if 5000 <= i < 9000)
 
 
+def test_the_estimate_is_iterated_until_its_determinant_stops_falling(spark, monkeypatch):
+    rng, seen, real = random.Random(11), [], outliers._factored
+    monkeypatch.setattr(outliers, "_factored", lambda model, by: seen.append(scratch.store(real(model, by), "seen")) or seen[-1])
+    rows = [(i, "g", *[rng.uniform(-3, 3) * (1 + i % 5) for _ in range(outliers.P)]) for i in range(3000)]
+    columns = ", ".join(f"{x} double" for x in outliers.X)
+    outliers.estimates(spark.createDataFrame(rows, f"row long, group string, {columns}")).collect()
+    by_step = [{r["start"]: r["log_det"] for r in model.collect()} for model in seen]
+    last = {}
+    for step in by_step[:-1]:
+        last |= step
+    assert all(value >= last[start] - 1e-6 for start, value in by_step[-1].items())
+
+
 # chat
 
 
