@@ -111,7 +111,7 @@ def sketches(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     return scratch.store(texts.mapInArrow(_sketcher(bands), _SKETCH), "sketches")
 
 
-def _classes(sketched: DataFrame) -> DataFrame:
+def classes(sketched: DataFrame) -> DataFrame:
     """Adds ``rep``, the smallest id with the same set; NULL without a set or id."""
     known = F.col("doc_id").isNotNull() & F.col("print").isNotNull()
     groups = scratch.store(
@@ -172,7 +172,7 @@ def _size_fits(percent: int) -> Column:
     return F.lit(100) * small >= F.lit(percent) * large
 
 
-def _with_components(rows: DataFrame, node: str, components: DataFrame, out: str) -> DataFrame:
+def with_components(rows: DataFrame, node: str, components: DataFrame, out: str) -> DataFrame:
     found = components.select(F.col("node").alias(node), F.col("component").alias("_component"))
     return rows.join(found, node, "left").withColumn(out, F.coalesce("_component", node)).drop("_component")
 
@@ -236,14 +236,16 @@ def _tile_reader(percent: int):
     return run
 
 
-def _hidden_links(verifier: _Verifier, shared: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Stored links ``a, b`` between different components inside buckets.
+def hidden_links(texts: DataFrame, repeated: bool, shared: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Stored links ``a, b`` between different components inside the buckets of
+    ``shared`` (``key, rep, n, size``). ``repeated`` tells whether ids of
+    ``texts`` repeat.
 
     A bucket's main component is the one with most of its rows. Only rows
     outside it are paired, with all rows of the bucket, so a large group of
     linked copies is not paired with itself.
     """
-    rows = _with_components(shared.where(F.col("size") > 2).select("key", "rep", "n"), "rep", components, "c")
+    rows = with_components(shared.where(F.col("size") > 2).select("key", "rep", "n"), "rep", components, "c")
     rows = scratch.store(rows, "labelled")
     sizes = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("m"))
     main = (
@@ -264,8 +266,8 @@ def _hidden_links(verifier: _Verifier, shared: DataFrame, components: DataFrame,
         F.count(F.lit(1)).alias("_count"),
     )
     ids = scratch.store(members.select(F.col("rep").alias("doc_id")).distinct(), "member_ids")
-    sets = _sets(verifier.texts, ids, _set_bytes(), "rep long, shingles binary")
-    sets = scratch.store(sets.distinct() if verifier.repeated else sets, "sets")
+    sets = _sets(texts, ids, _set_bytes(), "rep long, shingles binary")
+    sets = scratch.store(sets.distinct() if repeated else sets, "sets")
     placed = lookup_join(members, scratch.store(grids, "grids"), ["main"], ["rep"], "_count", 20_000)
     placed = placed.join(sets, "rep").withColumn("_outside", outside)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
@@ -283,7 +285,7 @@ def _hidden_links(verifier: _Verifier, shared: DataFrame, components: DataFrame,
 
 def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id, kept``."""
-    classed = scratch.store(_classes(sketches(docs, bands)), "classed")
+    classed = scratch.store(classes(sketches(docs, bands)), "classed")
     known = classed.where(F.col("rep").isNotNull())
     ids = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_count"), F.min("rep").alias("_least"))
     ids = scratch.store(ids.where(F.col("_count") > 1), "repeated")
@@ -310,9 +312,9 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
         same = lookup_join(known.select("doc_id", "rep"), ids, ["doc_id"], ["rep"], "_count", 20_000)
         links = links.unionByName(same.where("_least != rep").select(F.col("_least").alias("a"), F.col("rep").alias("b")))
     components = connected_components(links)
-    components = _joined(components, _hidden_links(verifier, shared, components, bands.percent))
+    components = joined_components(components, hidden_links(verifier.texts, repeated, shared, components, bands.percent))
 
-    result = _with_components(classed.select("doc_id", "n", "rep"), "rep", components, "component_id")
+    result = with_components(classed.select("doc_id", "n", "rep"), "rep", components, "component_id")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return result.select(
         "doc_id",
@@ -322,7 +324,7 @@ def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     )
 
 
-def _joined(components: DataFrame, links: DataFrame) -> DataFrame:
+def joined_components(components: DataFrame, links: DataFrame) -> DataFrame:
     """Components after more links; unchanged without any."""
     if links.isEmpty():
         return components
