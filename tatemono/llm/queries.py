@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tatemono.llm import chat, mixing, near_dup, outliers, packing, quality_mil, secrets, topk, url_filter, warc
+from tatemono.llm import (
+    chat,
+    hard_negatives,
+    jaccard_join,
+    mixing,
+    near_dup,
+    outliers,
+    packing,
+    prefix_trie,
+    quality_mil,
+    secrets,
+    topk,
+    url_filter,
+    warc,
+)
 from tatemono.llm.sql import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -65,6 +79,18 @@ def op10_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_attention_mil": op1_attention_mil,
     "op2_mix_sources": op2_mix_sources,
@@ -76,4 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_rules": op8_url_rules,
     "op9_chat_examples": op9_chat_examples,
     "op10_minhash_near_dup": op10_minhash_near_dup,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }

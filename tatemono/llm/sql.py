@@ -119,6 +119,73 @@ select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, d.doc_id =
 from documents d left join sizes using (doc_id) join components on node = d.doc_id
 """
 
+# the same with a similarity of 80 percent, without the verdict
+JACCARD = NEAR_DUP.replace("100 * m >= 75 *", "100 * m >= 80 *").replace(", d.doc_id = component_id as kept", "")
+
+HARD_NEGATIVES = """
+with v as materialized (
+    select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as w
+    from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scores as materialized (
+    select a.r as a, a.vec_id as anchor_id, c.r as c, c.vec_id, a.label = c.label as same,
+           coalesce(list_sum(list_transform(range(1, least(len(a.w), len(c.w)) + 1), lambda i: a.w[i] * c.w[i])), 0)::bigint as score
+    from v a join v c on a.r <> c.r where a.vec_id % 100 = 0
+), positives as (
+    select * from scores where same qualify row_number() over (partition by a order by score desc, vec_id, c) <= 5
+)
+select p.anchor_id, p.vec_id as positive_id,
+       row_number() over (partition by p.a, p.c order by n.score desc, n.vec_id, n.c)::integer as rank,
+       n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join scores n
+  on n.a = p.a and not n.same and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score
+qualify rank <= 5
+"""
+
+TRIE = """
+with turns as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+           row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as k
+    from conversations where conv_id is not null
+), own as materialized (
+    select conv_id, list(struct_pack(role := role, text := text) order by k) as turns from turns group by conv_id
+), asked as (
+    -- CRC-32, bit by bit: a byte is mixed in, then eight shifts follow
+    select conv_id, turns, xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(
+               string_split(conv_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda x, y: case when y >= 0 then xor(x, y) else xor(x >> 1, 3988292384::bigint * (x & 1)) end),
+               4294967295) % 9 as h
+    from own
+), rebuilt as materialized (
+    select a.conv_id, list_concat(coalesce(b.turns[1:h], []), a.turns[h + 1:]) as turns
+    from asked a left join own b on b.conv_id = a.conv_id - a.conv_id % 5
+), paths as materialized (
+    select conv_id, unnest(range(0, len(turns) + 1)) as depth, len(turns) as total, turns from rebuilt
+), keyed as materialized (
+    select conv_id, depth, total, sha256(turns[1:depth]::json::varchar) as node,
+           case when depth > 0 then sha256(turns[1:depth - 1]::json::varchar) end as parent,
+           case when depth > 0 then strlen(turns[depth].text) else 0 end as bytes
+    from paths
+), nodes as materialized (
+    select node, min(conv_id) as conv_id, max(depth) as depth, max(parent) as parent, count(*) as n_convs, max(bytes) as bytes,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = total), '')) as ends_sha256
+    from keyed group by node
+), children as materialized (
+    select parent as node, count(*) as n_children from nodes where parent is not null group by parent
+), below as (
+    -- every node counts for all nodes on the path of one of its members
+    select k.node, count(*) filter (c.n_children is null) as n_leaves, sum((n.n_convs - 1) * n.bytes) as saved_tokens
+    from nodes n left join children c on c.node = n.node
+    join keyed k on k.conv_id = n.conv_id and k.depth <= n.depth group by k.node
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs::bigint as n_convs,
+       coalesce(n_children, 0)::bigint as n_children, n_leaves::bigint as n_leaves,
+       saved_tokens::bigint as saved_tokens, n.ends_sha256
+from nodes n join below b on b.node = n.node left join children c on c.node = n.node left join nodes p on p.node = n.parent
+"""
+
 ORACLES: dict[str, str] = {
     "op2_mix_sources": MIX,
     "op3_exact_top_k": TOP_K,
@@ -126,4 +193,7 @@ ORACLES: dict[str, str] = {
     "op8_url_rules": URLS,
     "op9_chat_examples": CHAT,
     "op10_minhash_near_dup": NEAR_DUP,
+    "op11_jaccard_join": JACCARD,
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_prefix_trie": TRIE,
 }

@@ -1,0 +1,114 @@
+"""Hard negatives against plain loops."""
+
+import math
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from tatemono.llm import hard_negatives as mining
+
+SCHEMA = "vec_id long, embedding array<float>, label int, row string, w int"
+
+
+def plain(rows, scale=256):
+    """Sorted result rows of the definition."""
+    kept = []
+    for vec_id, vector, label, *_ in rows:
+        if vec_id is None or label is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        label = int(math.fmod(label + 1, 10)) if vec_id % 7 == 0 else label
+        kept.append((vec_id, label, [math.floor(scale * float(np.float32(x))) for x in vector]))
+    out = []
+    for i, (anchor, label, w) in enumerate(kept):
+        if anchor % 100:
+            continue
+        scored = [(-sum(a * b for a, b in zip(w, v)), other, mark) for j, (other, mark, v) in enumerate(kept) if j != i]
+        scored.sort()
+        for score, positive, _ in [s for s in scored if s[2] == label][:5]:
+            inside = [s for s in scored if s[2] != label and 80 * -score <= 100 * -s[0] <= 100 * -score][:5]
+            out += [(anchor, positive, k, s[1], -score, -s[0]) for k, s in enumerate(inside, 1)]
+    return sorted(out)
+
+
+def got(spark, rows, **settings):
+    table = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(3)
+    columns = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+    return sorted(tuple(r[c] for c in columns) for r in mining.mine(table, **settings).collect())
+
+
+def vectors(seed, n=260, width=13):
+    """Clusters with shared directions, whole-number ties, copies and repeated ids."""
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 1) for _ in range(width)] for _ in range(4)]
+    rows = []
+    for i in range(n):
+        centre = rng.choice(centres)
+        coarse = rng.random() < 0.5
+        vector = [round(c + rng.gauss(0, 0.4), 0 if coarse else 3) for c in centre][: rng.choice([width, width, 5])]
+        rows.append((rng.randrange(n) if rng.random() < 0.2 else i * 5, vector, rng.choice([0, 0, 0, 1, 2, 9])))
+    return rows + rows[:9] + [(100, rows[3][1], -3), (700, rows[3][1], 9), (0, [], 0), (200, [0.0] * width, 1)]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_equals_plain_loops(spark, seed):
+    rows = vectors(seed)
+    expected = plain(rows)
+    assert expected
+    assert got(spark, rows) == expected
+
+
+def test_block_sizes_change_nothing(spark):
+    rows = vectors(5)
+    assert got(spark, rows, candidates=17, anchors=2) == plain(rows)
+
+
+def test_rows_that_take_no_part(spark):
+    good = vectors(7, 90)
+    bad = [(None, [1.0], 1), (300, None, 1), (300, [None, 1.0], 1), (300, [float("nan")], 1), (300, [float("inf")], 1), (300, [9.0], None)]
+    assert got(spark, good + bad) == plain(good)
+    assert got(spark, bad) == []
+
+
+def test_large_values_are_scored_without_bounds(spark):
+    rows = [(100, [3e6, 2.0], 1), (1, [3e6, 1.0], 1), (2, [2.9e6, 7.0], 2), (3, [2.95e6, -4.0], 2), (4, [1.0, 1.0], 3)]
+    expected = plain(rows)
+    assert len(expected) == 2
+    assert got(spark, rows) == expected
+
+
+def test_bounds_hold_at_every_level():
+    rng = np.random.default_rng(0)
+    rows = [rng.integers(-300, 300, rng.integers(1, 40)) + rng.integers(-200, 200) for _ in range(60)]
+    found = [mining.summaries(w) for w in rows]
+    frame = pd.DataFrame(
+        {
+            "row": np.arange(60),
+            "vec_id": np.arange(60),
+            "label": np.zeros(60),
+            "w": rows,
+            "means": [m for m, _ in found],
+            "deviations": [d for _, d in found],
+        }
+    )
+    left, right = mining.blocks(frame.iloc[:9], frame)
+    exact = left.w @ right.w.T
+    width = np.inf
+    assert len(left.levels) == 5 and left.levels[0][0].shape[1] == 1
+    for (am, ad), (cm, cd) in zip(left.levels, right.levels):
+        middle, reach = am @ cm.T, ad @ cd.T + 1e-6
+        assert (middle - reach <= exact).all() and (exact <= middle + reach).all()
+        assert reach.sum() <= width + 1e-6
+        width = reach.sum()
+
+
+def test_refinement_drops_candidates_before_scoring():
+    """Segments of steady sign tell near rows from far ones without a score."""
+    rng = np.random.default_rng(1)
+    rows = [np.repeat(rng.choice([-100, 100], 4), 4) + rng.integers(-5, 5, 16) for _ in range(200)]
+    found = [mining.summaries(w) for w in rows]
+    frame = pd.DataFrame({"row": np.arange(200), "vec_id": np.arange(200), "label": 1, "w": rows, "means": [m for m, _ in found], "deviations": [d for _, d in found]})
+    left, right = mining.blocks(frame.iloc[:1], frame)
+    places, _ = mining.refine(left, 0, right, np.arange(200), lambda low, high: high >= mining._kth_best(low, 5))
+    assert 5 <= len(places) < 60

@@ -22,4 +22,4 @@ def test_query(spark, duck, name):
 
 def test_the_contract_has_the_operators_and_the_pipeline():
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
