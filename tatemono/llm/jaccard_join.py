@@ -19,10 +19,13 @@ by ``100 / p``, so a set only meets its own band and the one below.
    budgets that add up to H + 1 find all pairs, and the cheapest are taken:
    the cost is the number of sets indexed under the probed keys. Empty and
    common subsets are left out that way.
-4. A key's sets are a bucket. Each is verified against the bucket's smallest
-   one on the full sets; what may still be hidden between different components
-   of a bucket is compared exactly in tiles (see ``near_dup.hidden_links``).
-   Links are joined to components by large-star and small-star.
+4. A key's sets are a bucket. Each is compared with the bucket's smallest one;
+   what may still be hidden between different components of a bucket is
+   compared in tiles (see ``near_dup.hidden_pairs``). The comparison first
+   looks at parities: a bit per place tells whether an odd number of elements
+   falls there, and each bit in which two sets differ takes an element that
+   they do not share. Pairs that do not differ in too many bits are verified
+   on the full sets. Links are joined by large-star and small-star.
 
 Costs only steer which keys are probed, never what is found. They are exact
 counts but for keys that no chunk of a task holds twice. Keys and ids travel as
@@ -40,7 +43,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +51,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tatemono.llm.components import connected_components
-from tatemono.llm.near_dup import classes, hidden_links, joined_components, with_components
+from tatemono.llm.near_dup import classes, hidden_pairs, joined_components, with_components
 from tatemono.llm.shingles import fingerprint, shingle_set
-from tatemono.llm.text import Rows, rows_in, task
+from tatemono.llm.text import WORD, Rows, rows_in, task
 from tatemono.operators.joins import lookup_join
 from tatemono.sources import scratch
 
@@ -236,8 +239,74 @@ def buckets(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return base[rows].view(np.int64), ids[rows], np.repeat(size[chosen], size[chosen])
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """A bit per place for a set, about one place per element: whether the
+    number of elements there is odd."""
+    places = max(64, 1 << (len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(places - 1)).astype(np.int64), minlength=places) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(words: np.ndarray) -> np.ndarray:
+    """Parities (last axis) over half as many places."""
+    half = words.shape[-1] // 2
+    return words[..., :half] ^ words[..., half:]
+
+
+def may_link(size: int, bits: np.ndarray, sizes: np.ndarray, others: np.ndarray, partition: Partition) -> np.ndarray:
+    """Whether a set may be linked to others, all of the same number of places,
+    as far as sizes and parities tell."""
+    if others.shape[1] > 2 * len(bits) or len(bits) > 2 * others.shape[1]:
+        return np.zeros(len(sizes), bool)  # too different in size
+    if len(bits) > others.shape[1]:
+        bits = _folded(bits)
+    elif len(bits) < others.shape[1]:
+        others = _folded(others)
+    different = np.bitwise_count(others ^ bits).sum(axis=1, dtype=np.int64)
+    most = (size + sizes) * (100 - partition.percent) // (100 + partition.percent)
+    return np.maximum(different, np.abs(sizes - size)) <= most
+
+
+def _words(bits: bytes) -> np.ndarray:
+    return np.frombuffer(bits, np.uint64)
+
+
+def tile_pairs(left: list[tuple], right: list[tuple], partition: Partition) -> Iterator[tuple[int, int]]:
+    """Pairs that may be linked, between ``(rep, component, payload)`` rows of
+    different components; a payload is a size, then parities."""
+    by_places: dict[int, list[tuple]] = {}
+    for rep, group, payload in right:
+        by_places.setdefault(len(payload), []).append((rep, group, payload))
+    packed = []
+    for rows in by_places.values():
+        ids, groups = (np.array([r[i] for r in rows]) for i in (0, 1))
+        bits = np.stack([_words(r[2]) for r in rows])
+        packed.append((ids, groups, bits[:, 0].astype(np.int64), bits[:, 1:]))
+    for rep, group, payload in left:
+        own = _words(payload)
+        for ids, groups, sizes, bits in packed:
+            likely = may_link(int(own[0]), own[1:], sizes, bits, partition) & (groups != group)
+            for other in ids[likely].tolist():
+                yield min(rep, other), max(rep, other)
+
+
+def _likely(partition: Partition):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    @task
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = Rows(schema)
+        for batch in batches:
+            for a, b, left, right in rows_in(batch, "a", "b", "pa", "pb"):
+                for pair in tile_pairs([(a, a, left)], [(b, b, right)], partition):
+                    yield from rows.add(pair, 16)
+        yield from rows.flush()
+
+    return run
+
+
 def _sketcher():
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("payload", pa.binary())])
 
     @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +314,11 @@ def _sketcher():
         for batch in batches:
             for doc_id, text in rows_in(batch, "doc_id", "text"):
                 found = shingle_set(text)
-                yield from rows.add((doc_id, len(found), fingerprint(found) if len(found) else None), 48)
+                if len(found):
+                    payload = len(found).to_bytes(8, "little") + parities(found)
+                    yield from rows.add((doc_id, len(found), fingerprint(found), payload), len(payload) + 48)
+                else:
+                    yield from rows.add((doc_id, 0, None, None), 48)
         yield from rows.flush()
 
     return run
@@ -356,25 +429,46 @@ def _only(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(ids) if scratch.measure(ids).broadcastable else ids, "doc_id", "left_semi")
 
 
+def _with_sides(pairs: DataFrame, sets: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Columns of both sets of each pair; ``sets`` is stored, with a row per id
+    and ``pairs``, how many pairs it is in."""
+    for x in ("b", "a"):
+        side = sets.select(F.col("doc_id").alias(x), *[F.col(c).alias(short + x) for c, short in columns.items()], F.col("pairs").alias("_pairs"))
+        pairs = lookup_join(pairs, side, [x], ["a", "b"], "_pairs", 2_000)
+    return pairs
+
+
+def _members(pairs: DataFrame) -> DataFrame:
+    """Stored ids in ``pairs`` with the number of their pairs."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    return scratch.store(ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pairs")), "members")
+
+
+def _likely_pairs(pairs: DataFrame, reps: DataFrame, partition: Partition, repeated: bool) -> DataFrame:
+    """Stored rows of the stored ``pairs`` that sizes and parities allow."""
+    if repeated:
+        return pairs  # an id may have several sets
+    payloads = scratch.store(reps.join(_members(pairs), "doc_id"), "payloads")
+    both = _with_sides(pairs, payloads, {"payload": "p"}).select("a", "b", "pa", "pb")
+    return scratch.store(both.mapInArrow(_likely(partition), "a long, b long"), "likely")
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int, repeated: bool) -> DataFrame:
     """Stored rows ``a, b`` of the stored ``pairs`` that are similar enough, by
     a whole-number test on the full sets."""
-    counts = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id")
-    ids = scratch.store(counts.agg(F.count(F.lit(1)).alias("pairs")), "members")
-    sets = _only(texts, ids.select("doc_id")).mapInArrow(_set_maker(), "doc_id long, n long, shingles array<long>")
-    sets = scratch.store((sets.distinct() if repeated else sets).join(ids, "doc_id"), "sets")
-
-    def side(x: str, count: str) -> DataFrame:
-        return sets.select(F.col("doc_id").alias(x), F.col("n").alias("n" + x), F.col("shingles").alias("x" + x), F.col("pairs").alias(count))
-
-    both = pairs.select("a", "b").join(side("b", "_pairs").drop("_pairs"), "b")
-    # one row per id is what the lookup needs; otherwise Spark splits skewed ids
-    other = side("a", "_pairs")
-    both = both.join(other.drop("_pairs"), "a") if repeated else lookup_join(both, other, ["a"], ["b"], "_pairs", 2_000)
-    small, large = F.least("na", "nb"), F.greatest("na", "nb")
+    members = _members(pairs)
+    sets = _only(texts, members.select("doc_id")).mapInArrow(_set_maker(), "doc_id long, n long, shingles array<long>")
+    sets = scratch.store((sets.distinct() if repeated else sets).join(members, "doc_id"), "sets")
+    if repeated:
+        # several sets of an id; a document of very many pairs is a skewed key, which Spark splits
+        both = pairs
+        for x in ("b", "a"):
+            both = both.join(sets.select(F.col("doc_id").alias(x), F.col("n").alias("n" + x), F.col("shingles").alias("x" + x)), x)
+    else:
+        both = _with_sides(pairs, sets, {"n": "n", "shingles": "x"})
     shared = F.size(F.array_intersect("xa", "xb"))
     linked = F.lit(100) * shared >= F.lit(percent) * (F.col("na") + F.col("nb") - shared)
-    return scratch.store(both.where(F.lit(100) * small >= F.lit(percent) * large).where(linked).select("a", "b"), "links")
+    return scratch.store(both.where(linked).select("a", "b"), "links")
 
 
 def _common(reps: DataFrame, partition: Partition) -> tuple[np.ndarray, np.ndarray]:
@@ -388,16 +482,16 @@ def jaccard_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, component_id``."""
     spark, partition = docs.sparkSession, Partition(percent)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sketched = scratch.store(texts.mapInArrow(_sketcher(), "doc_id long, n long, print binary"), "sketches")
+    sketched = scratch.store(texts.mapInArrow(_sketcher(), "doc_id long, n long, print binary, payload binary"), "sketches")
     classed = scratch.store(classes(sketched), "classed")
     known = classed.where(F.col("rep").isNotNull())
     ids = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_count"), F.min("rep").alias("_least"))
     ids = scratch.store(ids.where(F.col("_count") > 1), "repeated")
     repeated = not ids.isEmpty()
 
-    reps = known.where(F.col("doc_id") == F.col("rep")).select("doc_id", "n")
+    reps = known.where(F.col("doc_id") == F.col("rep")).select("doc_id", "n", "payload")
     reps = scratch.store(reps.distinct() if repeated else reps, "reps")
-    rep_texts = _only(texts, reps.select("doc_id")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rep_texts = _only(texts, reps.select("doc_id").distinct()).where(F.col("text").rlike(WORD))
     common = spark.sparkContext.broadcast(_common(rep_texts, partition))
     # a set has about 0.55 keys per element at 80 percent
     elements = reps.agg(F.sum("n").alias("n")).first()["n"] or 0
@@ -407,15 +501,20 @@ def jaccard_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     grouped = scratch.store(grouped, "shared")
     common.destroy()
 
-    links = _verified(texts, scratch.store(grouped.where("a != rep").select("a", F.col("rep").alias("b")).distinct(), "stars"), percent, repeated)
+    stars = scratch.store(grouped.where("a != rep").select("a", F.col("rep").alias("b")).distinct(), "stars")
+    links = _verified(texts, _likely_pairs(stars, reps, partition, repeated), percent, repeated)
     if repeated:
         # rows of one doc_id are one node, whatever classes they are in
         same = lookup_join(known.select("doc_id", "rep"), ids, ["doc_id"], ["rep"], "_count", 20_000)
         links = links.unionByName(same.where("_least != rep").select(F.col("_least").alias("a"), F.col("rep").alias("b")))
     components = connected_components(links)
+
     sizes = reps.groupBy(F.col("doc_id").alias("rep")).agg(F.max("n").alias("n"))
     shared = grouped.where(F.col("size") > 2).join(sizes, "rep").select("key", "rep", "n", "size")
-    components = joined_components(components, hidden_links(texts, repeated, shared, components, percent))
+    payloads = lambda wanted: reps.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "payload")
+    hidden = hidden_pairs(shared, components, payloads, partial(tile_pairs, partition=partition))
+    hidden = scratch.store(hidden.distinct(), "hidden")
+    components = joined_components(components, _verified(texts, hidden, percent, repeated))
 
     result = with_components(classed.select("doc_id", "n", "rep"), "rep", components, "component_id")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))

@@ -25,8 +25,9 @@ the input are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,9 @@ class Bands:
 TILE = 1024
 TILE_SHINGLES = 400_000
 
+# links between two lists of rows ``(rep, component, payload)``
+Compare = Callable[[list[tuple], list[tuple]], Iterator[tuple[int, int]]]
+
 _SKETCH = "doc_id long, n long, print binary, keys array<long>"
 _SETS = "doc_id long, n long, signature array<int>, shingles array<long>"
 
@@ -178,7 +182,7 @@ def with_components(rows: DataFrame, node: str, components: DataFrame, out: str)
 
 
 def _set_bytes():
-    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.binary())])
+    schema = pa.schema([("rep", pa.int64()), ("payload", pa.binary())])
 
     @task
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +219,7 @@ def tile_links(left: list[tuple], right: list[tuple], percent: int) -> Iterator[
             yield min(rep, other), max(rep, other)
 
 
-def _tile_reader(percent: int):
+def _tile_reader(compare: Compare):
     """Reads tiles one after the other; a tile's rows are neighbours."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -223,13 +227,13 @@ def _tile_reader(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, sides, here = Rows(schema), ([], []), None
         for batch in batches:
-            for *tile, is_left, rep, group, shingles in rows_in(batch, *batch.schema.names):
+            for *tile, is_left, rep, group, payload in rows_in(batch, *batch.schema.names):
                 if tile != here:
-                    for pair in tile_links(*sides, percent):
+                    for pair in compare(*sides):
                         yield from rows.add(pair, 16)
                     sides, here = ([], []), tile
-                sides[0 if is_left else 1].append((rep, group, shingles))
-        for pair in tile_links(*sides, percent):
+                sides[0 if is_left else 1].append((rep, group, payload))
+        for pair in compare(*sides):
             yield from rows.add(pair, 16)
         yield from rows.flush()
 
@@ -237,9 +241,22 @@ def _tile_reader(percent: int):
 
 
 def hidden_links(texts: DataFrame, repeated: bool, shared: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Stored links ``a, b`` between different components inside the buckets of
-    ``shared`` (``key, rep, n, size``). ``repeated`` tells whether ids of
-    ``texts`` repeat.
+    """Stored links ``a, b`` between different components inside buckets, found
+    on the full sets. ``repeated`` tells whether ids of ``texts`` repeat."""
+
+    def sets(ids: DataFrame) -> DataFrame:
+        found = _sets(texts, ids, _set_bytes(), "rep long, payload binary")
+        return found.distinct() if repeated else found
+
+    return hidden_pairs(shared, components, sets, partial(tile_links, percent=percent))
+
+
+def hidden_pairs(
+    shared: DataFrame, components: DataFrame, payloads: Callable[[DataFrame], DataFrame], compare: Compare
+) -> DataFrame:
+    """Stored pairs ``a, b`` of different components that share a bucket of
+    ``shared`` (``key, rep, n, size``) and that ``compare`` finds on the
+    ``payloads`` (``rep, payload``) of a table of ``doc_id``.
 
     A bucket's main component is the one with most of its rows. Only rows
     outside it are paired, with all rows of the bucket, so a large group of
@@ -266,13 +283,12 @@ def hidden_links(texts: DataFrame, repeated: bool, shared: DataFrame, components
         F.count(F.lit(1)).alias("_count"),
     )
     ids = scratch.store(members.select(F.col("rep").alias("doc_id")).distinct(), "member_ids")
-    sets = _sets(texts, ids, _set_bytes(), "rep long, shingles binary")
-    sets = scratch.store(sets.distinct() if repeated else sets, "sets")
+    sets = scratch.store(payloads(ids), "sets")
     placed = lookup_join(members, scratch.store(grids, "grids"), ["main"], ["rep"], "_count", 20_000)
     placed = placed.join(sets, "rep").withColumn("_outside", outside)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     place = F.xxhash64("rep")
-    columns = ("rep", "c", "shingles")
+    columns = ("rep", "c", "payload")
     left = placed.where("_outside").select(
         "main", F.pmod(place, "ls").alias("l"), every(F.col("rs")).alias("r"), F.lit(True).alias("left"), *columns
     )
@@ -280,7 +296,7 @@ def hidden_links(texts: DataFrame, repeated: bool, shared: DataFrame, components
         "main", every(F.col("ls")).alias("l"), F.pmod(place, "rs").alias("r"), F.lit(False).alias("left"), *columns
     )
     tiles = left.unionByName(right).repartition("main", "l", "r").sortWithinPartitions("main", "l", "r")
-    return scratch.store(tiles.mapInArrow(_tile_reader(percent), "a long, b long"), "links")
+    return scratch.store(tiles.mapInArrow(_tile_reader(compare), "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:

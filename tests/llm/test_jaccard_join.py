@@ -147,3 +147,20 @@ def test_edge_rows(spark):
 
 def test_sets_of_the_same_words_agree():
     assert np.array_equal(shingle_set(b"A b\tC d e f"), shingle_set(b"a B c\nd e F"))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_parities_never_hide_a_link(seed):
+    rng, partition = np.random.default_rng(seed), join.Partition(80)
+    told = 0
+    for size in [*range(1, 30), 64, 65, 120, 130, 700]:
+        for differences in {0, 1, size // 9, size // 5, size // 4, size}:
+            a, b = random_pair(rng, size, differences)
+            rows = [(i, i, len(s).to_bytes(8, "little") + join.parities(s)) for i, s in enumerate((a, b)) if len(s)]
+            if len(rows) < 2:
+                continue
+            found = list(join.tile_pairs(rows[:1], rows, partition))
+            linked = 100 * size >= 80 * (size + differences)
+            assert found == [(0, 1)] or (not found and not linked), (size, differences)
+            told += not found
+    assert told > 20
