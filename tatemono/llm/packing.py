@@ -6,7 +6,9 @@ each goes to the open sequence with the least free space that still holds it.
 The free spaces of the open sequences form a bitset, so that sequence is the
 lowest set bit from the piece's length on. Only a fixed number of sequences
 stays open; beyond it the fullest one is closed. A task needs memory for its
-open sequences only, and a sequence never spans tasks.
+open sequences only, and a sequence never spans tasks. So that few sequences
+are left open, partitions of little text are first brought together, whole
+rows and no shuffle.
 
 Nulls and edges: a NULL text counts as empty, and an empty text is the end id
 alone. Repeated rows are packed each for itself. An empty table gives an empty
@@ -15,6 +17,7 @@ result. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -24,23 +27,38 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tatemono.llm.text import Rows, rows_in, task
+from tatemono.llm.text import Rows, task
 
 LENGTH = 2048
 OPEN = 256
+TASK_BYTES = 8 << 20  # of text that is worth a task, so that few sequences stay open
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 0
+PART_BYTES = 8 << 20  # of text that is encoded at once
 
 _COLUMNS = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
 _SEQUENCE_BITS = 40  # sequences of a task are numbered below these
 
 
 _LATIN_END = "\u0250"  # letters below it are whole characters in every normal form
+_DOTTED = "\u0130"  # but this one, whose lower case ends in a combining dot
+
+# The rules of a tokenizer whose words are encoded one by one.
+_WORDWISE = {
+    "normalizer": r"""{"type": "Sequence", "normalizers": [{"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}""",
+    "pre_tokenizer": r"""{"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": true},
+        {"type": "ByteLevel", "add_prefix_space": false, "trim_offsets": true, "use_regex": false}]}""",
+    "post_processor": "null",
+}
 
 
 def _byte_names() -> dict[int, str]:
@@ -99,10 +117,8 @@ class WordIds(dict):
     still in use move over.
     """
 
-    def __init__(self, path: str, most: int = 150_000, longest: int = 64):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.merges = self.tokenizer.model
+    def __init__(self, tokenizer: Tokenizer, most: int = 300_000, longest: int = 64):
+        self.tokenizer, self.merges = tokenizer, tokenizer.model
         self.most, self.longest = most, longest
         self.old: dict[bytes, bytes] = {}
 
@@ -118,30 +134,77 @@ class WordIds(dict):
         return found
 
     def _encoded(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # both of ASCII letters only
+            return self._merged(word.decode("ascii"))
         text = word.decode("utf-8")
-        if not text.isascii() and text.isalpha() and max(text) < _LATIN_END and "\u0130" not in text:
-            text = text.lower()
-        if text.isalpha() and text.islower() and max(text) < _LATIN_END:
+        if text.isalpha() and max(text) < _LATIN_END and _DOTTED not in text:
             # letters in lower case are one piece, which only needs its bytes named
-            named = text.encode().decode("latin-1").translate(_BYTE_NAMES)
-            return array("I", [token.id for token in self.merges.tokenize(named)]).tobytes()
-        if len(text) > 1 and text[-1] in ".," and text[-2].isalpha() and text[-2] < _LATIN_END:
+            return self._merged(text.lower().encode().decode("latin-1").translate(_BYTE_NAMES))
+        if len(text) > 1 and text[-1] in ".," and text[-2].isalpha() and text[-2] < _LATIN_END and text[-2] != _DOTTED:
             return self[word[:-1]] + self[word[-1:]]
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def text(self, text: bytes) -> bytes:
+    def _merged(self, piece: str) -> bytes:
+        return array("I", [token.id for token in self.merges.tokenize(piece)]).tobytes()
+
+    def texts(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, NULL as empty. Arrow splits the texts and finds the
+        distinct words; only those are looked up one by one."""
+        texts = pc.fill_null(texts, "")
         # special tokens are told apart by case
-        lower = text if b"<|" in text else text.lower()
-        return b"".join(map(self.__getitem__, lower.split()))
+        lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        words = pc.ascii_split_whitespace(lower)
+        coded = words.flatten().dictionary_encode()
+        known = [self[w] for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+        ids = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first, at = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[at])])
+        kind = np.int32 if ends[-1] < 1 << 31 and len(ids) < 1 << 31 else np.int64
+        places = np.repeat((first[at] - ends[:-1]).astype(kind), sizes[at])
+        places += np.arange(ends[-1], dtype=kind)
+        bounds = ends[pc.list_value_length(words).to_numpy(zero_copy_only=False).cumsum()]
+        out = ids[places].tobytes()
+        return [out[4 * a : 4 * b] for a, b in zip([0, *bounds[:-1].tolist()], bounds.tolist(), strict=True)]
+
+
+class TextIds:
+    """Token ids of whole texts, for any tokenizer."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = tokenizer
+
+    def texts(self, texts: pa.Array) -> list[bytes]:
+        found = self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+        return [array("I", f.ids).tobytes() for f in found]
+
+
+def ids_of(path: str) -> WordIds | TextIds:
+    """Encoder for a tokenizer's file: word by word only where its rules are
+    known to allow that."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    tokenizer = Tokenizer.from_file(path)
+    rules = json.loads(tokenizer.to_str())
+    wordwise = all(rules[part] == json.loads(known) for part, known in _WORDWISE.items())
+    return WordIds(tokenizer) if wordwise else TextIds(tokenizer)
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of bounded bytes of text, of a document at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    part = (np.cumsum(sizes, dtype=np.int64) - sizes) // PART_BYTES
+    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
 
 
-_encoders: dict[str, WordIds] = {}
+_encoders: dict[str, WordIds | TextIds] = {}
 
 
-def encoder(path: str) -> WordIds:
+def encoder(path: str) -> WordIds | TextIds:
     """One per Python worker."""
     if path not in _encoders:
-        _encoders[path] = WordIds(path)
+        _encoders[path] = ids_of(path)
     return _encoders[path]
 
 
@@ -176,9 +239,10 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, bins, rows = encoder(path), OpenBins(length, most_open), Rows(schema)
         base = TaskContext.get().partitionId() << _SEQUENCE_BITS
-        for batch in batches:
-            for doc_id, text in rows_in(batch, "doc_id", "text"):
-                ids = encode.text(text or b"") + last
+        for part in (part for batch in batches for part in _parts(batch)):
+            ids_of_texts = encode.texts(part.column("text"))
+            for doc_id, ids in zip(part.column("doc_id").to_pylist(), ids_of_texts, strict=True):
+                ids += last
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
                     n = len(part) // 4
@@ -186,7 +250,9 @@ def pack(
                     yield from rows.add((doc_id, piece, at // 4, n, part, base + number, offset), len(part) + 60)
         yield from rows.flush()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _COLUMNS)
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    size = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return texts.coalesce(max(1, -(-size // TASK_BYTES))).mapInArrow(run, _COLUMNS)
 
 
 def with_checksum(pieces: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 """Automata, secret scans, URL rules, packing: each against a plain version."""
 
+import json
 import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -185,10 +187,46 @@ def test_packing_against_the_plain_tokenizer(spark):
     assert packing.pack(docs.limit(0)).count() == 0
 
 
+def plain_ids(tokenizer, texts):
+    return [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, np.uint32).tobytes() for t in texts]
+
+
 def test_small_word_table_gives_the_same_ids():
-    small = packing.WordIds(packing.vocabulary_path(), most=2)
-    text = b"one two three one two three"
-    assert small.text(text) == packing.encoder(packing.vocabulary_path()).text(text) and len(small) <= 2
+    tokenizer = Tokenizer.from_file(packing.vocabulary_path())
+    small = packing.WordIds(tokenizer, most=2)
+    texts = ["one two three one two three " + "\u00a0" * 40 + " one. two, three.,", None, "", " \n", "\ttwo\x0b\x0cone ", "\x1cone\x1f two"]
+    assert small.texts(pa.array(texts)) == plain_ids(tokenizer, texts) and len(small) <= 2
+    assert small.texts(pa.array(texts, pa.large_string()).slice(2)) == plain_ids(tokenizer, texts[2:])
+
+
+def test_every_letter_before_a_full_stop_or_comma():
+    path = packing.vocabulary_path()
+    words = packing.ids_of(path)
+    assert isinstance(words, packing.WordIds)
+    letters = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()] + ["\u0345", "ﬁ", "ǰ", "ẞ", "Ω"]
+    forms = [f for x in letters for f in (f"{x}.", f"{x},", f"a{x}.", f"{x}a.", f"{x}{x},", f"{x}", f"a{x}", f"{x}.,", f".{x}.", f"{x}. {x}, b")]
+    want = plain_ids(Tokenizer.from_file(path), forms)
+    assert [f for f, got, plain in zip(forms, words.texts(pa.array(forms)), want, strict=True) if got != plain] == []
+
+
+def test_another_tokenizer_encodes_whole_texts(spark, tmp_path):
+    rules = json.loads(Tokenizer.from_file(packing.vocabulary_path()).to_str())
+    rules["normalizer"] = None  # keeps upper case and white space
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(rules))
+    text = "Upper  lower\nUPPER. end"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    ids = packing.pack(docs, vocabulary=str(other)).first()["ids"]
+    plain = Tokenizer.from_file(str(other)).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(bytes(ids), np.uint32).tolist() == [*plain, 0]
+
+
+def test_many_small_partitions_fill_their_sequences(spark):
+    rng = random.Random(0)
+    rows = [(i, " ".join(rng.choices(["alpha", "beta", "gamma", "delta"], k=rng.choice([rng.randrange(200), rng.randrange(2500)])))) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(211)
+    found = packing.pack(docs).agg(F.sum("length").alias("n"), F.countDistinct("sequence_id").alias("s")).first()
+    assert found["n"] >= 0.98 * packing.LENGTH * found["s"]
 
 
 def test_registered_rules_are_read_from_whole_texts(spark):
