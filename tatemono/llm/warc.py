@@ -15,7 +15,8 @@ from its pieces. Their texts are read once more and found by their digests, so
 the two reads may split the files differently.
 
 Nulls and edges: a NULL html is an empty payload, a NULL url gives no target
-header, and a NULL page_id no record id; such a row never is the original of
+header, a url with control characters or line separators is percent-encoded and
+comes back as it was, and a NULL page_id no record id; such a row never is the original of
 another one, unless no row with that payload has an id, when all of them are
 responses. Rows that repeat the largest page_id are all responses. An empty
 table gives no record. Other columns of the input are ignored.
@@ -34,6 +35,10 @@ BLANK = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 LEAST_REVISIT_BYTES = 0
 
+# A url that a header line cannot hold as it is: controls and line separators,
+# blanks at its ends, nothing at all. It is percent-encoded, and a header says so.
+_UNFIT = r"[\x00-\x1F\x7F-\x9F\u2028\u2029]|^ | $|^$"
+
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed value: RFC 4648
 _DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
@@ -66,13 +71,14 @@ def write_warc(pages: DataFrame, path: str, date: str = DATE, least_revisit_byte
     joined = lookup_join(rows, scratch.store(originals, "originals"), ["digest", "check"], ["page_id", "url"], "_count")
     revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))
     record_id = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
-    line = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
+    unfit = F.coalesce(F.col("url").rlike(_UNFIT), F.lit(False))
     record = F.concat(
         F.lit(MAGIC),
         _header("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         _header("WARC-Record-ID", record_id(F.col("page_id"))),
         _header("WARC-Date", F.lit(date)),
-        _header("WARC-Target-URI", line),
+        _header("WARC-Target-URI", F.when(unfit, F.url_encode("url")).otherwise(F.col("url"))),
+        _header("X-Target-URI-Encoding", F.when(unfit, F.lit("form"))),
         _header("WARC-Refers-To", F.when(revisit, record_id(F.col("original")))),
         _header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
         _header("X-Payload-Length", F.col("bytes").cast("string")),
@@ -85,7 +91,8 @@ def write_warc(pages: DataFrame, path: str, date: str = DATE, least_revisit_byte
 
 
 def _field(head: Column, name: str, value: str = "([^\r]*)") -> Column:
-    found = F.regexp_extract(head, rf"(?im)^{name}: *{value}\r?$", 1)
+    # d: nothing but a line feed ends a line
+    found = F.regexp_extract(head, rf"(?imd)^{name}: *{value}\r?$", 1)
     return F.when(found != "", found)
 
 
@@ -93,6 +100,12 @@ def _number(head: Column, name: str, value: str) -> Column:
     return _field(head, name, value).try_cast("long")
 
 
+def _url(head: Column) -> Column:
+    line = _field(head, "WARC-Target-URI")
+    encoded = _field(head, "X-Target-URI-Encoding") == "form"
+    return F.when(encoded, F.coalesce(F.url_decode(line), F.lit(""))).otherwise(line)
+
+
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """What lies between occurrences of the magic. ``at`` orders the pieces of
     a block of a file. ``block`` and ``at`` depend on how the files are split,
@@ -127,7 +140,7 @@ def _candidates(spark: SparkSession, path: str, payloads: bool) -> DataFrame:
         *[c.alias(n) for n, c in _content().items()],
         _field(head, "WARC-Type").alias("record_type"),
         _number(head, "WARC-Record-ID", r"<urn:page:(-?\d{1,19})>").alias("page_id"),
-        _field(head, "WARC-Target-URI").alias("url"),
+        _url(head).alias("url"),
         _number(head, "WARC-Refers-To", r"<urn:page:(-?\d{1,19})>").alias("refers_to"),
         _field(head, "WARC-Payload-Digest", "sha1:([A-Z2-7]{32})").alias("declared"),
         _number(head, "X-Payload-Length", r"(\d{1,18})").alias("full_bytes"),
