@@ -54,6 +54,7 @@ CANDIDATES = 8192  # per block
 ANCHORS = 1024  # per block
 # whole numbers are exact in a double while sums of products stay below
 _EXACT = float(1 << 52)
+_ASKING = "anchor_"
 
 _VECTORS = "row long, vec_id long, label long, w array<long>, means array<double>, deviations array<double>"
 
@@ -193,6 +194,9 @@ def _frame(found: list[tuple], columns: dict[str, str]) -> pd.DataFrame:
 
 def _positive_search(k: int):
     def run(candidates: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
+        if not len(anchors) or not len(candidates):  # a block may be empty
+            return _frame([], _POSITIVE)
+        anchors = anchors.rename(columns=lambda c: c.removeprefix(_ASKING))
         left, right = blocks(anchors, candidates)
         found = []
         for anchor, row in enumerate(left.rows.tolist()):
@@ -205,6 +209,9 @@ def _positive_search(k: int):
 
 def _negative_search(k: int, percent: int):
     def run(candidates: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
+        if not len(anchors) or not len(candidates):
+            return _frame([], _NEGATIVE)
+        anchors = anchors.rename(columns=lambda c: c.removeprefix(_ASKING))
         left, right = blocks(anchors, candidates)
         found = []
         for anchor, (row, scores) in enumerate(zip(left.rows.tolist(), anchors["scores"], strict=True)):
@@ -249,7 +256,9 @@ def mine(
     left = vectors.select(F.pmod(place, F.lit(c_blocks)).cast("int").alias("c"), each(a_blocks).alias("a"), *vectors.columns)
 
     def met(asking: DataFrame, search, columns: dict[str, str]) -> DataFrame:
-        right = asking.select(each(c_blocks).alias("c"), F.pmod(place, F.lit(a_blocks)).cast("int").alias("a"), *asking.columns)
+        # names of their own keep Spark from taking columns of one side for the other's
+        own = [F.col(c).alias(f"{_ASKING}{c}") for c in asking.columns]
+        right = asking.select(each(c_blocks).alias("c"), F.pmod(place, F.lit(a_blocks)).cast("int").alias("a"), *own)
         return left.groupBy("c", "a").cogroup(right.groupBy("c", "a")).applyInPandas(search, _schema(columns))
 
     own = vectors.where(asked)

@@ -62,6 +62,8 @@ def test_equals_plain_loops(spark, seed):
 def test_block_sizes_change_nothing(spark):
     rows = vectors(5)
     assert got(spark, rows, candidates=17, anchors=2) == plain(rows)
+    few = rows[:9] + [(100, rows[0][1], 0)]
+    assert got(spark, few, candidates=1, anchors=1) == plain(few)  # blocks without rows
 
 
 def test_rows_that_take_no_part(spark):
@@ -69,6 +71,8 @@ def test_rows_that_take_no_part(spark):
     bad = [(None, [1.0], 1), (300, None, 1), (300, [None, 1.0], 1), (300, [float("nan")], 1), (300, [float("inf")], 1), (300, [9.0], None)]
     assert got(spark, good + bad) == plain(good)
     assert got(spark, bad) == []
+    table = spark.createDataFrame([(*r, "x", 1) for r in good], SCHEMA)
+    assert mining.mine(table).count() == len(plain(good))
 
 
 def test_large_values_are_scored_without_bounds(spark):
