@@ -3,21 +3,19 @@
 from tatemono.llm.mixing_sql import MIX
 
 TOP_K = """
-with vectors as (
-    select vec_id, min(w) as w from (
-        select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as w
-        from embeddings
-        where vec_id is not null and embedding is not null
-          and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-    ) group by vec_id
+with vectors as materialized (
+    select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as w
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), parts as (
-    select vec_id, unnest(w) as x, generate_subscripts(w, 1) as i from vectors
+    select r, vec_id, unnest(w) as x, generate_subscripts(w, 1) as i from vectors
 ), scores as (
-    select q.vec_id as query_id, c.vec_id, sum(q.x * c.x)::bigint as score
-    from parts q join parts c on q.i = c.i and q.vec_id <> c.vec_id
-    where q.vec_id % 100 = 0 group by q.vec_id, c.vec_id
+    select q.r as q, q.vec_id as query_id, c.vec_id, sum(q.x * c.x)::bigint as score
+    from parts q join parts c on q.i = c.i and q.r <> c.r
+    where q.vec_id % 100 = 0 group by q.r, q.vec_id, c.r, c.vec_id
 ), ranked as (
-    select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scores
+    select *, row_number() over (partition by q order by score desc, vec_id)::integer as rank from scores
 )
 select query_id, rank, vec_id, score from ranked where rank <= 10
 """

@@ -102,15 +102,19 @@ def test_top_k_against_brute_force(spark):
     rows = [(i, v, "x") for i, v in vectors.items()] + [(0, vectors[0], "again"), (None, [1.0] * 6, ""), (100, [5.0] * 6, "larger")]
     rows += [(400, None, ""), (401, [1.0, None], ""), (402, [float("nan")], ""), (403, [float("inf")], ""), (500, [], ""), (501, [9.0], "")]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")
-    whole = {i: [int(np.floor(1024 * x)) for x in v] for i, v in vectors.items()} | {500: [], 501: [9216]}
+    rows += [(41, [9.0] * 6, "another vector of an id"), (200, [-9.0] * 6, "a query too")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")
+    usable = [(i, v) for i, v, _ in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in usable]
     want = []
-    for q in (i for i in whole if i % 100 == 0):
-        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=False)), i) for i, v in whole.items() if i != q)
-        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:10])]
+    for place, (q, w) in enumerate(whole):
+        if q % 100 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(w, v, strict=False)), i) for other, (i, v) in enumerate(whole) if other != place)
+            want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:10])]
     for options in ({}, {"candidates": 37, "queries": 2}):
         assert sorted(tuple(r) for r in topk.top_k(table, **options).collect()) == sorted(want)
     assert topk.top_k(table.limit(0)).count() == 0
-    assert topk.top_k(table.where("vec_id = 0")).count() == 0
+    assert topk.top_k(table.where("vec_id = 500")).count() == 0
 
 
 # archives
@@ -153,7 +157,24 @@ def test_archives_round_trip(spark, split):
     texts = dict(rows)
     assert all(r["valid"] for r in records)
     assert all(bytes(r["payload"]).decode() == (texts[r["page_id"]] or "") for r in records if r["record_type"] == "response" and r["page_id"] is not None)
-    assert {r["url"] for r in records} == {None, "http://a/%0D%0AX: 1"}
+    assert {r["url"] for r in records} == {None, "http://a/\r\nX: 1"}
+
+
+def test_any_url_comes_back_and_adds_no_header(spark):
+    fakes = ["Content-Length: 0", "WARC-Refers-To: <urn:page:77>", "WARC-Type: revisit", "X-Payload-Length: 5", "WARC-Payload-Digest: sha1:x", "X-Target-URI-Encoding: form"]
+    breaks = ["\r", "\n", "\r\n", "\r\n\r\n", "\u0085", "\u2028", "\u2029", "\x0b", "\x0c", "\x1c", "\x00"]
+    urls = [f"http://a.org/{b}{f}{b}" for b in breaks for f in fakes]
+    urls += ["http://b/%0D", "http://b/\r", "http://b/a+b%20c é", "http://b/\x85+%zz", "", " ", " lead", "trail ", None, "100%", "WARC/1.1\r\n", "\t"]
+    rows = [(i, u, f"payload {i}") for i, u in enumerate(urls)] + [(1000, "http://copy/\u2028", "payload 3")]
+    path = scratch.new_path(spark, "warc")
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4), path)
+    records = {r["page_id"]: r for r in warc.read_warc(spark, path).collect()}
+    assert {i: r["url"] for i, r in records.items()} == {i: u for i, u, _ in rows}
+    for i, _, html in rows:
+        revisit = i == 3
+        assert records[i]["record_type"] == ("revisit" if revisit else "response")
+        assert records[i]["refers_to"] == (1000 if revisit else None)
+        assert records[i]["payload_bytes"] == len(html) and records[i]["valid"]
 
 
 def test_payloads_do_not_depend_on_how_a_later_read_is_split(spark, monkeypatch):
