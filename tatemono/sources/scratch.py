@@ -50,8 +50,12 @@ _SCOPE = "tatemono.scratch.scope"
 def new_path(spark: SparkSession, name: str) -> str:
     """A path of this process in the shared folder that nothing uses yet."""
     scope = spark.sparkContext.getLocalProperty(_SCOPE)
-    folder = f"{scope}/{name}" if scope else name
-    return f"{shared_folder(spark)}/tatemono-{_RUN}/{folder}-{uuid.uuid4().hex}"
+    return lasting_path(spark, f"{scope}/{name}" if scope else name)
+
+
+def lasting_path(spark: SparkSession, name: str) -> str:
+    """The same, outside of any scope: it stays until all tables are removed."""
+    return f"{shared_folder(spark)}/tatemono-{_RUN}/{name}-{uuid.uuid4().hex}"
 
 
 @contextmanager
