@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tatemono.llm.components import connected_components
 from tatemono.llm.shingles import MinHash, fingerprint, shingle_set
@@ -358,15 +359,31 @@ def drop_near_duplicates(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     again = scratch.store(again, "again")
     if again.isEmpty():
         return out
-    # rows that share a doc_id: one stays, the smallest by all its columns
-    row = fresh(docs, "_row")
-    one = docs.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias(row))
-    return _without(out, again).unionByName(one.select(f"{row}.*"))
+    # rows that share a doc_id: one stays, the smallest by the columns that have an order
+    number = fresh(docs, "_number")
+    rows = docs.join(again, "doc_id", "left_semi").select(*_all(docs), F.monotonically_increasing_id().alias(number))
+    rows = scratch.store(rows, "copies")
+    order = [F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(docs.schema.fields) if _has_order(f.dataType)]
+    least = F.min(F.struct(*order, F.col(number).alias("row"))).alias("least")
+    first = rows.groupBy("doc_id").agg(least).select(F.col("least.row").alias(number))
+    return _without(out, again).unionByName(rows.join(first, number, "left_semi").select(*_all(docs)))
+
+
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
+def _all(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is not in a stored table."""
     small = scratch.measure(ids).broadcastable
-    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_anti").select(*_all(docs))
 
 

@@ -94,6 +94,19 @@ def test_repeated_ids_and_missing_ids(spark):
     assert near_dup.drop_near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_dropping_keeps_columns_of_any_kind(spark):
+    """Maps, names with dots and names that the steps use, with repeated ids."""
+    text = " ".join("t%d" % i for i in range(30))
+    rows = [(1, text, {"k": 2}, 5, [1], ({"a": 1},), 7, 0), (1, text, {"k": 1}, 4, [2], ({"a": 2},), 8, 1), (2, text, None, 3, None, None, 9, 2), (3, "else", {}, 2, [], ({},), 1, 3)]
+    rows += [rows[0], (None, text, {"n": 1}, 1, None, None, 2, 4)]
+    schema = "doc_id long, text string, m map<string,int>, `a.b` int, l array<int>, s struct<x: map<string,int>>, _number int, row int"
+    docs = spark.createDataFrame(rows, schema)
+    kept = near_dup.drop_near_duplicates(docs)
+    assert kept.schema == docs.schema
+    got = sorted((r["doc_id"] or -1, r["a.b"], r["m"], r["_number"]) for r in kept.collect())
+    assert got == [(-1, 1, {"n": 1}, 2), (1, 4, {"k": 1}, 8), (3, 2, {}, 1)]
+
+
 @pytest.mark.parametrize("chunk", [64, 1 << 20])
 def test_hashes_follow_the_words(monkeypatch, chunk):
     monkeypatch.setattr(shingles, "CHUNK", chunk)
