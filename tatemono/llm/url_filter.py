@@ -4,7 +4,8 @@ The index file holds the 64-bit xxhash keys of all rules in sorted order, and
 behind them the rules' full strings. It is written once to the shared folder,
 handed to the executors by Spark, and memory-mapped there, so all tasks of a
 machine share one copy. A URL's candidates are its host and all parent
-domains, each with the path prefixes of the lengths that rules have. They are
+domains that are no longer than a rule's, each with the path prefixes of the
+lengths that rules have. No more of a URL than that reaches the probes. They are
 probed together by vectorised binary search; every hit is confirmed on the
 stored string, so a collision of keys decides nothing.
 
@@ -18,7 +19,6 @@ from __future__ import annotations
 
 import mmap
 import struct
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -55,8 +55,9 @@ RULES = (
     UrlRule(BLOCK, "com", "/de/"),
 )
 
-_HEAD = struct.Struct("<8sQQQ")  # magic, rules, path lengths, bytes of text
-_MAGIC = b"URLRULE1"
+_HEAD = struct.Struct("<8sQQQ")  # magic, rules, path lengths, bytes of the longest host
+_MAGIC = b"URLRULE2"
+PROBE_BYTES = 8 << 20  # of candidates that are probed together
 
 
 def _key(text: bytes) -> int:
@@ -79,7 +80,7 @@ def build_index(rules: Sequence[UrlRule]) -> bytes:
     ends = np.cumsum([0, *(len(text) for _, text, _ in entries)]).astype("<u8")
     lengths = np.array(sorted({len(text.partition(b"\0")[2]) for text in chosen}), "<u8")
     parts = (
-        _HEAD.pack(_MAGIC, len(entries), len(lengths), len(texts)),
+        _HEAD.pack(_MAGIC, len(entries), len(lengths), max((len(r.host.encode()) for r in rules), default=0)),
         np.array([k for k, _, _ in entries], "<u8").tobytes(),
         ends.tobytes(),
         lengths.tobytes(),
@@ -95,7 +96,7 @@ class RuleIndex:
     def __init__(self, path: str):
         with open(path, "rb") as file:
             self.map = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-        magic, rules, lengths, _ = _HEAD.unpack_from(self.map)
+        magic, rules, lengths, self.longest = _HEAD.unpack_from(self.map)
         if magic != _MAGIC:
             raise ValueError("not an index of URL rules")
         at = _HEAD.size
@@ -113,6 +114,9 @@ class RuleIndex:
 
     def candidates(self, host: bytes, path: bytes) -> list[bytes]:
         """All ``host NUL path prefix`` strings a rule for the URL may have."""
+        if len(host) > self.longest:
+            dot = host.find(b".", len(host) - self.longest - 1)
+            host = host[dot + 1 :] if dot >= 0 else b""
         if not host:
             return []
         prefixes = [path[:n] for n in self.lengths if n <= len(path)]
@@ -127,19 +131,28 @@ class RuleIndex:
     def judge(self, hosts: Sequence[bytes], paths: Sequence[bytes]) -> list[tuple[str, str] | None]:
         """Rule and verdict per URL; of several rules the longest, then the
         one with the longest host."""
+        best: list[tuple[str, str] | None] = [None] * len(hosts)
+        rank: list[tuple[int, int]] = [(-1, -1)] * len(hosts)
         texts: list[bytes] = []
         owner: list[int] = []
+        held = 0
         for i, (host, path) in enumerate(zip(hosts, paths, strict=True)):
             mine = self.candidates(host, path)
             texts += mine
             owner += [i] * len(mine)
-        best: list[tuple[str, str] | None] = [None] * len(hosts)
+            held += sum(map(len, mine))
+            if held > PROBE_BYTES:
+                self._probe(texts, owner, best, rank)
+                texts, owner, held = [], [], 0
+        self._probe(texts, owner, best, rank)
+        return best
+
+    def _probe(self, texts: list[bytes], owner: list[int], best: list, rank: list) -> None:
         if not texts or not len(self.keys):
-            return best
+            return
         probes = np.fromiter(map(_key, texts), np.uint64, len(texts))
         left = np.searchsorted(self.keys, probes, "left")
         right = np.searchsorted(self.keys, probes, "right")
-        rank: list[tuple[int, int]] = [(-1, -1)] * len(hosts)
         for at in np.flatnonzero(right > left).tolist():
             for i in range(int(left[at]), int(right[at])):
                 if self.text(i) == texts[at]:
@@ -149,7 +162,6 @@ class RuleIndex:
                         rank[owner[at]] = order
                         verdict = BLOCK if self.blocks[i] else ALLOW
                         best[owner[at]] = ((host + path).decode(), verdict)
-        return best
 
 
 def publish(docs: DataFrame, rules: Sequence[UrlRule]) -> str:
@@ -159,15 +171,15 @@ def publish(docs: DataFrame, rules: Sequence[UrlRule]) -> str:
     data = build_index(rules)
     if len(data) > MOST_BYTES:
         raise ValueError(f"the rule list needs {len(data)} bytes, more than {MOST_BYTES}")
-    name = f"url-rules-{uuid.uuid4().hex}.bin"
     jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch.shared_folder(spark)}/{name}")
+    # executors that join later fetch the file too, so it outlives any scope
+    path = jvm.org.apache.hadoop.fs.Path(f"{scratch.lasting_path(spark, 'url-rules')}.bin")
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
     for at in range(0, len(data), 1 << 20):
         out.write(bytearray(data[at : at + (1 << 20)]))
     out.close()
     spark.sparkContext.addFile(path.toString())
-    return name
+    return path.getName()
 
 
 _open: dict[str, RuleIndex] = {}
@@ -202,5 +214,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[UrlRule] = RULES, default: str
         return pd.DataFrame([f or (None, default) for f in found], columns=["rule", "verdict"])
 
     parts = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
-    parts = parts.withColumn("_judged", judged("host", "path"))
+    # a rule sees the end of a host, with the character before, and the start of a path
+    end = F.right("host", F.lit(max((len(r.host) for r in rules), default=0) + 1))
+    start = F.left("path", F.lit(max((len(r.path) for r in rules), default=0)))
+    parts = parts.withColumn("_judged", judged(end, start))
     return parts.select("page_id", "host", "path", "_judged.rule", "_judged.verdict")

@@ -4,6 +4,7 @@ import json
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from tokenizers import Tokenizer
 
 from tatemono.llm import packing, secrets, url_filter
 from tatemono.llm.automaton import Dfa, Pattern
+from tatemono.sources import scratch
 
 DOCS = "text string, doc_id long, n_chars long, score double, spans int"
 ASSIGN = re.compile(
@@ -141,6 +143,41 @@ def test_equal_keys_are_told_apart_by_their_strings(monkeypatch, tmp_path):
         assert index.judge([host.encode()], [at.encode()]) == [(rule, verdict) if rule else None]
 
 
+def test_long_hosts_and_paths_cost_no_more_than_rules(spark, tmp_path):
+    rules = [url_filter.UrlRule("block", "example.org", "/es/"), url_filter.UrlRule("allow", "org", "/"), url_filter.UrlRule("block", "münchen.de", "/ü")]
+    path = tmp_path / "rules.bin"
+    path.write_bytes(url_filter.build_index(rules))
+    index = url_filter.RuleIndex(str(path))
+    dots = b"." * 1_000_000 + b"example.org"
+    assert sum(map(len, index.candidates(dots, b"/es/" * 1000))) < 2000
+    assert index.judge([dots] * 3, [b"/es/x"] * 3) == [("example.org/es/", "block")] * 3
+    urls = ["http://" + "a." * 200_000 + "example.org/es/1", "http://" + "." * 200_000 + "org/" + "p" * 200_000, "http://xexample.org/es/", "http://example.org/es/", "http://x.münchen.de/ü", "http://org/", "http://aorg/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"], len(r["host"])) for r in url_filter.judge_urls(pages, rules, "none").collect()}
+    assert got == {
+        0: ("example.org/es/", "block", 400_011), 1: ("org/", "allow", 200_003), 2: ("org/", "allow", 12), 3: ("example.org/es/", "block", 11),
+        4: ("münchen.de/ü", "block", 12), 5: ("org/", "allow", 3), 6: (None, "none", 4),
+    }
+
+
+def test_probes_in_parts_judge_alike(tmp_path, monkeypatch):
+    path = tmp_path / "rules.bin"
+    path.write_bytes(url_filter.build_index(url_filter.RULES))
+    index = url_filter.RuleIndex(str(path))
+    hosts, paths = [b"a.example.org", b"x.com", b"example.org"] * 5, [b"/en/1", b"/de/", b"/es/x"] * 5
+    whole = index.judge(hosts, paths)
+    monkeypatch.setattr(url_filter, "PROBE_BYTES", 10)
+    assert index.judge(hosts, paths) == whole and None not in whole
+
+
+def test_the_index_file_lies_with_the_scratch_tables_and_outlives_a_scope(spark):
+    folder = Path(scratch.lasting_path(spark, "any").removeprefix("file:")).parent
+    before = set(folder.glob("url-rules-*.bin"))
+    with scratch.scope(spark):
+        name = url_filter.publish(spark.range(1), url_filter.RULES)
+    assert {p.name for p in set(folder.glob("url-rules-*.bin")) - before} == {name}
+
+
 def test_open_bins_never_overflow_and_keep_their_number():
     rng, bins, fill, most = random.Random(1), packing.OpenBins(100, 8), {}, 0
     for _ in range(5000):
