@@ -40,7 +40,7 @@ OPEN = 256
 TASK_BYTES = 8 << 20  # of text that is worth a task, so that few sequences stay open
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 0
-PART_BYTES = 8 << 20  # of text that is encoded at once
+PART_BYTES = 2 << 20  # of text that is encoded at once
 
 _COLUMNS = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
 _SEQUENCE_BITS = 40  # sequences of a task are numbered below these
@@ -117,7 +117,7 @@ class WordIds(dict):
     still in use move over.
     """
 
-    def __init__(self, tokenizer: Tokenizer, most: int = 300_000, longest: int = 64):
+    def __init__(self, tokenizer: Tokenizer, most: int = 200_000, longest: int = 64):
         self.tokenizer, self.merges = tokenizer, tokenizer.model
         self.most, self.longest = most, longest
         self.old: dict[bytes, bytes] = {}
