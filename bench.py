@@ -1,6 +1,7 @@
 """Time the registered queries; print one JSON line.
 
-Each query is built and run to the end into Spark's ``noop`` sink, with all
+Each query's time also goes to the error stream as soon as it ends, so that a
+run that is cut short leaves figures. Each query is built and run to the end into Spark's ``noop`` sink, with all
 its rows and columns. ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose data and
 cores, ``BENCH_QUERIES`` (comma-separated) a subset.
 """
@@ -9,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from tatemono.queries import QUERIES
@@ -29,7 +31,10 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
     run(spark, "q_mart", sf_dir)  # start the JVM's compilers and the page cache
-    seconds = {name: run(spark, name, sf_dir) for name in names}
+    seconds = {}
+    for name in names:
+        seconds[name] = run(spark, name, sf_dir)
+        print(json.dumps({"query": name, "sec": seconds[name]}), file=sys.stderr, flush=True)
     scratch.remove_tables(spark)
     spark.stop()
     print(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -110,6 +111,20 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | No
     return {c: medians.get(c) for c in columns}
 
 
+def approx_medians(df: DataFrame, columns: Sequence[str], rank_error: float) -> dict[str, float | None]:
+    """Median of each column within a rank error: the share of smaller values
+    is off one half by at most ``rank_error``. NULL and NaN are skipped.
+
+    One aggregation with a quantile sketch per column, whose size depends on
+    the error only and which is merged without a shuffle of values. The value
+    returned is always one of the column.
+    """
+    accuracy = math.ceil(1 / rank_error)
+    value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    row = df.agg(*[F.percentile_approx(value(c), 0.5, accuracy).alias(f"m{i}") for i, c in enumerate(columns)]).first()
+    return dict(zip(columns, row, strict=True))
+
+
 def conditional_pivot(
     df: DataFrame, keys: Sequence[str], on: str, values: Mapping[object, str], measure: str
 ) -> DataFrame:

@@ -236,6 +236,10 @@ left join {_codes("addr_group", "mart")} ac on ac.label = coalesce(m.addr_group,
 }
 
 FINALS |= {
+    "q_kfold_even": """select data_type, id, ntile(3) over (order by md5('42|' || id)) - 1 as fold from base where data_type = 'train'
+union all select data_type, id, null from base where data_type <> 'train'""",
+    "q_median_approx": f"""select 'building_age' as name, count({_AGE}) as n, true as within from base
+union all select 'house_area', count(house_area), true from base""",
     "q_gbt": "select id, true as priced from stg_test",
     "q_gbt_stump": """select t.id, round(avg(exp(m.level) - 1), 4) as price
 from (select id, cast(building_id as int) % 2 as odd from stg_test) t

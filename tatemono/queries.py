@@ -11,7 +11,7 @@ from tatemono import functions as fn
 from tatemono.operators import encode, model
 from tatemono.operators.geojoin import nearest_within, radius_join
 from tatemono.operators.joins import lookup_join
-from tatemono.operators.rows import global_row_number
+from tatemono.operators.rows import approx_medians, global_row_number
 from tatemono.plans import mart as mart_plan
 from tatemono.plans import score as score_plan
 from tatemono.plans import staging
@@ -253,6 +253,24 @@ def kfold4(spark, sf_dir):
     return _folds(spark, sf_dir, 4)
 
 
+def kfold_even(spark, sf_dir):
+    """Folds whose sizes differ by one at most."""
+    rows = scratch.store(Tables(spark, sf_dir).base.select("data_type", "id"), "base")
+    return encode.kfold_even(rows, "id", 3, where=F.col("data_type") == "train")
+
+
+def median_approx(spark, sf_dir):
+    """Per column: its values, and whether the approximate median is within the rank error."""
+    columns, error = ["building_age", "house_area"], 0.001
+    rows = Tables(spark, sf_dir).stored_base(*columns)
+    medians = approx_medians(rows, columns, error)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value"), F.lit(medians[c]).alias("m")) for c in columns])).alias("cell")
+    values = rows.select(cells).select("cell.*").where("value is not null")
+    n, below, upto = F.count(F.lit(1)), F.count_if(F.col("value") < F.col("m")), F.count_if(F.col("value") <= F.col("m"))
+    within = (below <= n * (0.5 + error)) & (upto >= n * (0.5 - error))
+    return values.groupBy("name").agg(n.alias("n"), within.alias("within"))
+
+
 def _folds(spark, sf_dir, k):
     folds = score_plan.with_folds(Tables(spark, sf_dir).base, k)
     return folds.select("data_type", "id", "fold")
@@ -450,6 +468,8 @@ QUERIES: dict[str, Query] = {
     "q_label_encode": label_encode,
     "q_kfold": kfold,
     "q_kfold4": kfold4,
+    "q_kfold_even": kfold_even,
+    "q_median_approx": median_approx,
     "q_oof_te": oof_te,
     "q_test_te": test_te,
     "q_feature_matrix": feature_matrix,
