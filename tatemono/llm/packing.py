@@ -27,20 +27,18 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tatemono.llm.text import Rows, task
+from tatemono.llm.text import Rows, rows_in, task
 
 LENGTH = 2048
 OPEN = 256
 TASK_BYTES = 8 << 20  # of text that is worth a task, so that few sequences stay open
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 0
-PART_BYTES = 2 << 20  # of text that is encoded at once
 
 _COLUMNS = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
 _SEQUENCE_BITS = 40  # sequences of a task are numbered below these
@@ -117,7 +115,7 @@ class WordIds(dict):
     still in use move over.
     """
 
-    def __init__(self, tokenizer: Tokenizer, most: int = 200_000, longest: int = 64):
+    def __init__(self, tokenizer: Tokenizer, most: int = 150_000, longest: int = 64):
         self.tokenizer, self.merges = tokenizer, tokenizer.model
         self.most, self.longest = most, longest
         self.old: dict[bytes, bytes] = {}
@@ -147,25 +145,10 @@ class WordIds(dict):
     def _merged(self, piece: str) -> bytes:
         return array("I", [token.id for token in self.merges.tokenize(piece)]).tobytes()
 
-    def texts(self, texts: pa.Array) -> list[bytes]:
-        """Ids of each text, NULL as empty. Arrow splits the texts and finds the
-        distinct words; only those are looked up one by one."""
-        texts = pc.fill_null(texts, "")
+    def text(self, text: bytes) -> bytes:
         # special tokens are told apart by case
-        lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
-        words = pc.ascii_split_whitespace(lower)
-        coded = words.flatten().dictionary_encode()
-        known = [self[w] for w in coded.dictionary.cast(pa.binary()).to_pylist()]
-        ids = np.frombuffer(b"".join(known), "<u4")
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        first, at = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
-        ends = np.concatenate([[0], np.cumsum(sizes[at])])
-        kind = np.int32 if ends[-1] < 1 << 31 and len(ids) < 1 << 31 else np.int64
-        places = np.repeat((first[at] - ends[:-1]).astype(kind), sizes[at])
-        places += np.arange(ends[-1], dtype=kind)
-        bounds = ends[pc.list_value_length(words).to_numpy(zero_copy_only=False).cumsum()]
-        out = ids[places].tobytes()
-        return [out[4 * a : 4 * b] for a, b in zip([0, *bounds[:-1].tolist()], bounds.tolist(), strict=True)]
+        lower = text if b"<|" in text else text.lower()
+        return b"".join(map(self.__getitem__, lower.split()))
 
 
 class TextIds:
@@ -174,9 +157,8 @@ class TextIds:
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer = tokenizer
 
-    def texts(self, texts: pa.Array) -> list[bytes]:
-        found = self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
-        return [array("I", f.ids).tobytes() for f in found]
+    def text(self, text: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(text.decode("utf-8"), add_special_tokens=False).ids).tobytes()
 
 
 def ids_of(path: str) -> WordIds | TextIds:
@@ -189,15 +171,6 @@ def ids_of(path: str) -> WordIds | TextIds:
     return WordIds(tokenizer) if wordwise else TextIds(tokenizer)
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch in parts of bounded bytes of text, of a document at least."""
-    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-    part = (np.cumsum(sizes, dtype=np.int64) - sizes) // PART_BYTES
-    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
-    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
-        yield batch.slice(a, b - a)
-
-
 _encoders: dict[str, WordIds | TextIds] = {}
 
 
@@ -239,10 +212,9 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, bins, rows = encoder(path), OpenBins(length, most_open), Rows(schema)
         base = TaskContext.get().partitionId() << _SEQUENCE_BITS
-        for part in (part for batch in batches for part in _parts(batch)):
-            ids_of_texts = encode.texts(part.column("text"))
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), ids_of_texts, strict=True):
-                ids += last
+        for batch in batches:
+            for doc_id, text in rows_in(batch, "doc_id", "text"):
+                ids = encode.text(text or b"") + last
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at : at + 4 * length]
                     n = len(part) // 4
