@@ -166,22 +166,32 @@ def positives_of(left: Block, anchor: int, right: Block, k: int) -> tuple[np.nda
     return places[order], scores[order]
 
 
-def negatives_of(left: Block, anchor: int, right: Block, score: int, k: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and scores of the ``k`` best rows of other labels that score
-    between ``percent`` of ``score`` and ``score``."""
-    least = -(-percent * score // 100)
-    if least > score:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+def negatives_of(
+    left: Block, anchor: int, right: Block, positives: set[int], k: int, percent: int
+) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each score of a positive, places and scores of the ``k`` best rows
+    of other labels that score between ``percent`` of it and it. The bounds are
+    worked out once for all positives of the anchor."""
+    spans = [(-(-percent * score // 100), score) for score in positives]
+    spans = [(least, score) for least, score in spans if least <= score]
+    if not spans:
+        return {}
 
     def doubt(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        surely = (low >= least) & (high <= score)
-        return (high >= max(least, _kth_best(low[surely], k))) & (low <= score)
+        stay = np.zeros(len(low), bool)
+        for least, score in spans:
+            surely = (low >= least) & (high <= score)
+            stay |= (high >= max(least, _kth_best(low[surely], k))) & (low <= score)
+        return stay
 
     places, scores = refine(left, anchor, right, np.flatnonzero(right.labels != left.labels[anchor]), doubt)
-    inside = (scores >= least) & (scores <= score)
-    places, scores = places[inside], scores[inside]
-    order = best(scores, right.ids[places], right.rows[places], k)
-    return places[order], scores[order]
+    found = {}
+    for least, score in spans:
+        inside = (scores >= least) & (scores <= score)
+        own, own_scores = places[inside], scores[inside]
+        order = best(own_scores, right.ids[own], right.rows[own], k)
+        found[score] = own[order], own_scores[order]
+    return found
 
 
 _POSITIVE = {"anchor": "int64", "row": "int64", "vec_id": "int64", "score": "int64"}
@@ -215,11 +225,11 @@ def _negative_search(k: int, percent: int):
         left, right = blocks(anchors, candidates)
         found = []
         for anchor, (row, scores) in enumerate(zip(left.rows.tolist(), anchors["scores"], strict=True)):
-            known: dict[int, tuple] = {}  # positives of equal score share their negatives
-            for number, score in enumerate(map(int, scores)):
-                if score not in known:
-                    known[score] = negatives_of(left, anchor, right, score, k, percent)
-                found += [(row, number, right.rows[p], right.ids[p], s) for p, s in zip(*known[score], strict=True)]
+            scores = [int(score) for score in scores]
+            known = negatives_of(left, anchor, right, set(scores), k, percent)
+            for number, score in enumerate(scores):
+                if score in known:
+                    found += [(row, number, right.rows[p], right.ids[p], s) for p, s in zip(*known[score], strict=True)]
         return _frame(found, _NEGATIVE)
 
     return run
