@@ -80,5 +80,5 @@ def score_mart(
         scored = score_plan.fit_and_score(readers.read_model(spark, mart), **settings)
         sinks.write_submission(scored.prices, out, single_file)
         if errors:
-            sinks.write_model(scored.errors, errors)
+            scored.errors.write.mode("overwrite").parquet(errors)
     return readers.read_submission(spark, out)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tatemono.sources import schemas
+from tatemono.sources import schemas, versions
 
 # Physical address of a raw row. It tells exact copies of a listing apart, so
 # that a sort can spread them over many tasks.
@@ -13,8 +13,9 @@ ROW_ADDRESS = ("_src_file", "_src_row")
 
 
 def read_raw(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Scan a landing folder with a declared schema, never an inferred one."""
-    return spark.read.schema(schema).format(fmt).options(**options).load(path)
+    """Scan a landing folder, or a table loaded from one, with a declared
+    schema, never an inferred one."""
+    return spark.read.schema(schema).format(fmt).options(**options).load(versions.current(spark, path))
 
 
 def read_train(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -45,8 +46,9 @@ def with_row_address(scan: DataFrame) -> DataFrame:
 
 
 def read_model(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a stored model, such as the mart."""
-    return spark.read.parquet(path)
+    """Scan the last whole version of a stored model, such as the mart, or a
+    folder of plain parquet files."""
+    return spark.read.parquet(versions.current(spark, path))
 
 
 def read_submission(spark: SparkSession, path: str) -> DataFrame:
