@@ -163,6 +163,15 @@ def _query(final: str) -> str:
     return f"with {steps}\n{final}"
 
 
+# which column of the dirty feed is bad, why, and when
+_BAD_VALUES = {
+    "money_room": ("out of range", "text = '1e40'"),
+    "year_built": ("not a number", "text = 'unknown'"),
+    "year_built ": ("loses digits", "text like '%.5'"),
+    "renovation_date": ("not a date or time", "text = '2020-02-30'"),
+}
+_DIRTY = ", ".join(f"{text} as {name}" for name, text in fixtures.DIRTY_TRAIN.items())
+
 _IS_TEST = f"not ({fixtures.IS_TRAIN})"
 _ID = fixtures.TEST["id"]
 
@@ -269,6 +278,16 @@ from (select cast(round(money_room) as double) as target_price, cast(building_id
   coalesce(cast(unit_area as double), (cast(unit_area_max as double) + cast(unit_area_min as double)) / 2.0) as house_area,
   cast(floor_count as double) as floor_count, cast(year_built as int) as year_built,
   cast(target_ym as int) as target_ym, full_address from raw_train)""",
+    "q_rejects": f"""select bad_column, text, reason, count(*) as n from (
+"""
+    + " union all ".join(
+        f"select '{name.strip()}' as bad_column, text, '{why}' as reason from (select {name} as text from (select {_DIRTY} from raw_train)) where {when}"
+        for name, (why, when) in _BAD_VALUES.items()
+    )
+    + f""") group by all
+union all select null, null, if(bad, 'rejected rows', 'good rows'), count(*)
+from (select money_room = '1e40' or year_built = 'unknown' or year_built like '%.5' or renovation_date = '2020-02-30' as bad
+      from (select {_DIRTY} from raw_train)) group by bad""",
     "q_mart_files": FINALS["q_mart"],
     "q_submission_file": FINALS["q_submission"],
 }

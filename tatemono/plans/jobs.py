@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tatemono.plans import mart as mart_plan
 from tatemono.plans import score as score_plan
 from tatemono.plans import staging
-from tatemono.sources import readers, schemas, scratch, sinks
+from tatemono.sources import checked, readers, schemas, scratch, sinks
 
 _SCHEMAS = {
     "train": schemas.TRAIN,
@@ -21,15 +21,31 @@ _SCHEMAS = {
 
 
 def land(
-    spark: SparkSession, inputs: Mapping[str, str | DataFrame], fmt: str = "parquet", **options: str
+    spark: SparkSession,
+    inputs: Mapping[str, str | DataFrame],
+    fmt: str = "parquet",
+    rejects: str | None = None,
+    lenient: bool = False,
+    **options: str,
 ) -> dict[str, DataFrame]:
     """The five raw tables, each from a landing folder with its declared schema
     or, given a DataFrame such as a catalog table, as it is. The rows of
-    ``train`` get an address; what is no parquet folder is stored for that."""
+    ``train`` get an address; what is no parquet folder is stored for that.
+
+    With ``rejects``, a folder, every value of the landing folders is checked.
+    The bad ones are listed below it, by table, and their rows go; with
+    ``lenient`` the rows stay, without these values.
+    """
     raw = {}
     for name, schema in _SCHEMAS.items():
         source = inputs[name]
         named = isinstance(source, str)
+        if named and rejects:
+            found = checked.read_checked(spark, source, schema, fmt, **options)
+            sinks.write_model(found.rejects, f"{rejects}/{name}")
+            rows = found.rows if lenient else found.good
+            raw[name] = rows if name == "train" else rows.drop(*readers.ROW_ADDRESS)
+            continue
         rows = readers.read_raw(spark, source, schema, fmt, **options) if named else source
         if name == "train":
             rows = readers.with_row_address(rows if named and fmt == "parquet" else scratch.store(rows, "landed"))
@@ -46,6 +62,7 @@ def build_mart(
     land_class: str = staging.RESIDENTIAL,
     lenient: bool = False,
     fmt: str = "parquet",
+    rejects: str | None = None,
     **options: str,
 ) -> DataFrame:
     """Read the five raw tables and write the three stored models.
@@ -53,11 +70,12 @@ def build_mart(
     ``inputs`` names the landing folders (of format ``fmt``) or holds the
     DataFrames of ``train``, ``test``, ``stations``, ``land_points`` and
     ``land_series``. Below ``out`` appear the nearest stations, the nearest
-    land prices and the mart, which is returned. The run's scratch tables are
+    land prices and the mart, which is returned. ``rejects`` names a folder for
+    the list of bad values (see :func:`land`). The run's scratch tables are
     removed.
     """
     with scratch.scope(spark):
-        raw = land(spark, inputs, fmt, **options)
+        raw = land(spark, inputs, fmt, rejects, lenient, **options)
         train, test = staging.stage_train(raw["train"], lenient), staging.stage_test(raw["test"], lenient)
         land_prices = staging.stage_land_prices(raw["land_points"], raw["land_series"], years, land_class)
         mart = mart_plan.mart(

@@ -15,7 +15,7 @@ from tatemono.operators.rows import approx_medians, global_row_number
 from tatemono.plans import mart as mart_plan
 from tatemono.plans import score as score_plan
 from tatemono.plans import staging
-from tatemono.sources import fixtures, readers, schemas, scratch, sinks
+from tatemono.sources import checked, fixtures, readers, schemas, scratch, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -425,6 +425,22 @@ def landing_train(spark, sf_dir):
     return staging.type_train(landed).select("building_id", "target_price", "house_area", "floor_count", "year_built", "target_ym", "full_address")
 
 
+def rejects(spark, sf_dir):
+    """A dirty CSV feed of the training listings: how often each bad value was
+    rejected, and how many rows were good and were not."""
+    names = spark.createDataFrame([], schemas.TRAIN).columns
+    feed = fixtures.project(Tables(spark, sf_dir).raw.train, fixtures.DIRTY_TRAIN)
+    path = scratch.new_path(spark, "dirty")
+    feed.select(*[F.col(c) if c in feed.columns else F.lit(None).cast("string").alias(c) for c in names]).write.csv(path)
+    found = checked.read_checked(spark, path, schemas.TRAIN, "csv")
+    values = found.rejects.groupBy("column", "text", "reason").agg(F.count(F.lit(1)).alias("n"))
+    nothing = [F.lit(None).cast("string").alias(c) for c in ("column", "text")]
+    good = found.good.select(*nothing, F.lit("good rows").alias("reason"))
+    bad = found.rejects.select("file", "row").distinct().select(*nothing, F.lit("rejected rows").alias("reason"))
+    rows = good.unionByName(bad).groupBy("column", "text", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return values.unionByName(rows).withColumnRenamed("column", "bad_column")
+
+
 def mart_files(spark, sf_dir):
     """The mart as a stored model and a table view, read back by upper-case names."""
     stored = sinks.write_model(Tables(spark, sf_dir).mart(), scratch.new_path(spark, "model"))
@@ -484,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "q_radius_spread": radius_spread,
     "q_nearest_crowded": nearest_crowded,
     "q_landing_train": landing_train,
+    "q_rejects": rejects,
     "q_mart_files": mart_files,
     "q_submission_file": submission_file,
 }

@@ -72,6 +72,16 @@ LAND_SERIES = {
     "research_year": "cast(year(o_orderdate) as int)",
     "posted_land_price": "o_totalprice",
 }
+# Training listings as a feed of texts, some of which do not fit their columns.
+DIRTY_TRAIN = {
+    "target_ym": "target_ym",
+    "building_id": "building_id",
+    "money_room": "case when floor_count = 7 then '1e40' else cast(cast(floor(money_room) as bigint) as string) end",
+    "year_built": "case when walk_distance1 = 4 then 'unknown' when walk_distance1 = 9 then cast(year_built as string) || '.5'"
+    " else cast(year_built as string) end",
+    "full_address": "full_address",
+    "renovation_date": "case when floor_count = 11 then '2020-02-30' else '2020-02-28' end",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
