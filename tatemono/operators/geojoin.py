@@ -18,12 +18,16 @@ from tatemono.operators.rows import global_row_number
 from tatemono.sources import scratch
 
 CELL = ["_band", "_cell"]
+NODE = [*CELL, "_row", "_column"]
+PLOT = ["_plot_band", "_plot_cell", "_plot_row", "_plot_column"]
 # Rows of one cell and side that meet in one task: about 4e8 distance tests.
 PAIR_SLICE_ROWS = 20_000
 # A cell that lists more points than this is searched through a point tree.
 CELL_POINTS = 512
 # Points below one tree node at the level where the search lists them.
 NODE_POINTS = 32
+# Points that a plot of the left side may list; every left point tries them all.
+PLOT_POINTS = 96
 # Each tree level cuts a node into 4 x 4; a leaf is a millimetre-sized spot.
 _STEP_BITS = 2
 _TREE_LEVELS = 11
@@ -115,9 +119,11 @@ def nearest_within(
     The right rows are numbered in the order that decides ties, so that the
     search handles numbers only. Each coordinate of the left side is searched
     once. A cell that lists few points holds them in one array, and a left
-    point takes the least of it; no pair becomes a row. In the other cells a
-    left point searches a tree of right-hand points level by level, and keeps
-    only nodes that can still hold its nearest point.
+    point takes the least of it; no pair becomes a row. The other cells are cut
+    into plots, each with an array of the points that may be nearest to
+    any of its left points, found by a search of whole plots in a tree of the
+    right-hand points. The left points themselves are only brought to their
+    plots, whatever the depth of the tree.
     """
     grid = Grid(radius_m)
     keys = list(keys)
@@ -142,16 +148,16 @@ def nearest_within(
     direct = listed.join(crowded, CELL, "left_anti") if any_crowded else listed
     arrays = direct.groupBy(*CELL).agg(F.collect_list(F.struct(x, y, "_rank")).alias("_places"))  # few points each
     arrays = scratch.store(arrays, "cells")
-    near = F.array_min(
-        F.transform("_places", lambda p: F.struct(_metres(left_point, p[x], p[y]).alias("_d"), p["_rank"].alias("_rank")))
-    )
     met = small_or_spread_join(searchers, arrays, CELL, scratch.fits(arrays, broadcast_bytes), slice_rows)
-    found = met.select(*who, near.alias("_near")).select(*who, "_near._d", "_near._rank")
+    found = _nearest_listed(met, left_point, right_point)
     if any_crowded:
         dense = listed.join(crowded, CELL, "left_semi").drop(*CELL).distinct()
-        tree = _PointTree(scratch.store(dense, "crowded-places"), right_point, grid, node_points, slice_rows, broadcast_bytes)
-        pairs = tree.search(searchers.join(crowded, CELL, "left_semi"), left_point)
-        found = found.unionByName(_least(pairs.select(*who, "_d", "_rank"), who))
+        tree = _PointTree(
+            scratch.store(dense, "crowded-places"), right_point, grid, node_points, slice_rows, broadcast_bytes,
+            list_points=min(cell_points, PLOT_POINTS),
+        )
+        cells = F.broadcast(crowded) if scratch.fits(crowded, broadcast_bytes) else crowded
+        found = found.unionByName(tree.search(searchers.join(cells, CELL, "left_semi"), left_point))
     found = found.where(F.col("_d") <= F.lit(float(radius_m)))
 
     per_spot = scratch.store(found.join(spots, who), "nearest")
@@ -167,12 +173,75 @@ def _metres(point: Point, lon: Column, lat: Column) -> Column:
     return haversine_m(F.col(point[0]), F.col(point[1]), lon, lat)
 
 
+def _nearest_listed(met: DataFrame, left_point: Point, right_point: Point) -> DataFrame:
+    """The least of the array ``_places`` beside each left point."""
+    x, y = right_point
+    near = F.array_min(
+        F.transform("_places", lambda p: F.struct(_metres(left_point, p[x], p[y]).alias("_d"), p["_rank"].alias("_rank")))
+    )
+    return met.select(*left_point, near.alias("_near")).select(*left_point, "_near._d", "_near._rank")
+
+
+def _located(df: DataFrame, point: Point, grid: Grid) -> DataFrame:
+    """Add the place of each point inside its cell, in steps of the finest level."""
+    lon, lat = F.col(point[0]), F.col(point[1])
+    # a longitude of 180 shares the cell of -180 and must share its box
+    level_lon = F.when(lon >= 180.0, lon - 360.0).otherwise(lon)
+    scale = F.lit(float(1 << (_STEP_BITS * _TREE_LEVELS)))
+    top = F.lit((1 << (_STEP_BITS * _TREE_LEVELS)) - 1).cast("long")
+    row = lat / F.lit(grid.band_deg) - F.floor(lat / F.lit(grid.band_deg))
+    column = (level_lon + 180.0) / (F.lit(360.0) / F.col("_width")) - F.col("_cell")
+    return (
+        df.withColumn("_width", grid.cells_in(F.col("_band")))
+        .withColumn("_row", F.greatest(F.least(F.floor(row * scale), top), F.lit(0).cast("long")))
+        .withColumn("_column", F.greatest(F.least(F.floor(column * scale), top), F.lit(0).cast("long")))
+        .withColumn("_level_lon", level_lon)
+        .drop("_width")
+    )
+
+
+def _boxes(located: DataFrame, lat: str, *more: Column) -> DataFrame:
+    """Bounding box of the points in each node."""
+    return located.groupBy(*NODE).agg(
+        F.min("_level_lon").alias("_west"),
+        F.max("_level_lon").alias("_east"),
+        F.min(lat).alias("_south"),
+        F.max(lat).alias("_north"),
+        *more,
+    )
+
+
+def _centre_and_reach(x: str, y: str, reach: str) -> list[Column]:
+    """The centre of a box and its reach in metres, by the way along the
+    meridian, then along the parallel."""
+    to_m = F.lit(EARTH_RADIUS_M * (1 + 1e-9))
+    flattest = F.when(
+        (F.col("_south") <= 0) & (F.col("_north") >= 0), F.lit(0.0)
+    ).otherwise(F.least(F.abs("_south"), F.abs("_north")))
+    metres = to_m * (
+        F.radians(F.col("_north") - F.col("_south")) / 2
+        + F.cos(F.radians(flattest)) * F.radians(F.col("_east") - F.col("_west")) / 2
+    ) + F.lit(1e-6)
+    return [
+        ((F.col("_west") + F.col("_east")) / 2).alias(x),
+        ((F.col("_south") + F.col("_north")) / 2).alias(y),
+        metres.alias(reach),
+    ]
+
+
+def _node_of(level: int) -> dict[str, Column]:
+    shift = (_TREE_LEVELS - level) * _STEP_BITS
+    return {c: F.shiftright(F.col(c), shift) for c in ("_row", "_column")}
+
+
 class _PointTree:
     """Grid cells cut into 4 x 4 again and again; each level is a stored table
-    with the box of the points in each node.
+    with the box and the number of the points in each node.
 
-    A search keeps, per left point, the nodes whose nearest possible place is
-    not beyond the farthest possible place of another node or the radius.
+    The left points are cut in the same way, into plots. A search keeps, per
+    plot, the nodes whose nearest possible place is not beyond the farthest
+    possible place of another node or the radius, seen from anywhere in the
+    plot. A plot whose nodes hold few points is done; the others are cut.
     """
 
     def __init__(
@@ -183,138 +252,125 @@ class _PointTree:
         node_points: int,
         slice_rows: int,
         broadcast_bytes: int | None = None,
+        list_points: int = PLOT_POINTS,
     ):
         self.point, self.grid, self.slice_rows, self.broadcast_bytes = point, grid, slice_rows, broadcast_bytes
-        lon, lat = F.col(point[0]), F.col(point[1])
-        # a longitude of 180 shares the cell of -180 and must share its box
-        level_lon = F.when(lon >= 180.0, lon - 360.0).otherwise(lon)
-        scale = F.lit(float(1 << (_STEP_BITS * _TREE_LEVELS)))
-        top = F.lit((1 << (_STEP_BITS * _TREE_LEVELS)) - 1).cast("long")
-        row = lat / F.lit(grid.band_deg) - F.floor(lat / F.lit(grid.band_deg))
-        column = (level_lon + 180.0) / (F.lit(360.0) / F.col("_width")) - F.col("_cell")
-        placed = scratch.store(
-            _in_cell(places, point, grid)
-            .withColumn("_width", grid.cells_in(F.col("_band")))
-            .withColumn("_row", F.greatest(F.least(F.floor(row * scale), top), F.lit(0).cast("long")))
-            .withColumn("_column", F.greatest(F.least(F.floor(column * scale), top), F.lit(0).cast("long")))
-            .withColumn("_level_lon", level_lon)
-            .drop("_width"),
-            "placed",
-        )
+        self.list_points = max(1, list_points)
+        self.placed = scratch.store(_located(_in_cell(places, point, grid), point, grid), "placed")
         # levels are made until every node is small; the last one may keep
         # nodes whose points are only millimetres apart
         self.levels: list[DataFrame] = []
         most = node_points + 1
         while most > node_points and len(self.levels) <= _TREE_LEVELS:
-            nodes = scratch.store(self._nodes(placed, len(self.levels)), "nodes")
+            cut = self.placed.withColumns(_node_of(len(self.levels)))
+            nodes = scratch.store(_boxes(cut, point[1], F.count(F.lit(1)).alias("_points")), "nodes")
             self.levels.append(nodes)
             most = nodes.agg(F.max("_points")).first()[0] or 0
         self.depth = len(self.levels) - 1
-        self.leaves = placed.withColumns(self._node_of(self.depth)).drop("_level_lon")
-        self.small = scratch.fits(self.leaves, broadcast_bytes)
-
-    def _nodes(self, placed: DataFrame, level: int) -> DataFrame:
-        """Count and bounding box of the points in each node of a level."""
-        return (
-            placed.withColumns(self._node_of(level))
-            .groupBy(*CELL, "_row", "_column")
-            .agg(
-                F.count(F.lit(1)).alias("_points"),
-                F.min("_level_lon").alias("_west"),
-                F.max("_level_lon").alias("_east"),
-                F.min(self.point[1]).alias("_south"),
-                F.max(self.point[1]).alias("_north"),
-            )
-        )
-
-    @staticmethod
-    def _node_of(level: int) -> dict[str, Column]:
-        shift = (_TREE_LEVELS - level) * _STEP_BITS
-        return {c: F.shiftright(F.col(c), shift) for c in ("_row", "_column")}
 
     def _at(self, level: int) -> DataFrame:
-        """Nodes of a level: the centre of the box and its reach in metres,
-        by the way along the meridian, then along the parallel."""
-        to_m = F.lit(EARTH_RADIUS_M * (1 + 1e-9))
-        flattest = F.when(
-            (F.col("_south") <= 0) & (F.col("_north") >= 0), F.lit(0.0)
-        ).otherwise(F.least(F.abs("_south"), F.abs("_north")))
-        reach = to_m * (
-            F.radians(F.col("_north") - F.col("_south")) / 2
-            + F.cos(F.radians(flattest)) * F.radians(F.col("_east") - F.col("_west")) / 2
-        ) + F.lit(1e-6)
-        return self.levels[level].select(
-            *CELL,
-            "_row",
-            "_column",
-            ((F.col("_west") + F.col("_east")) / 2).alias("_x"),
-            ((F.col("_south") + F.col("_north")) / 2).alias("_y"),
-            reach.alias("_reach"),
-        )
+        return self.levels[level].select(*NODE, "_points", *_centre_and_reach("_x", "_y", "_reach"))
+
+    def _plots(self, located: DataFrame, lat: str) -> list[DataFrame]:
+        """Boxes of the left points in each plot of each level. Only the finest
+        plots are made from the points, coarser ones from the next finer."""
+        levels = [scratch.store(_boxes(located.withColumns(_node_of(self.depth)), lat), "plots")]
+        for _ in range(self.depth):
+            finer = levels[-1].withColumns({c: F.shiftright(F.col(c), _STEP_BITS) for c in ("_row", "_column")})
+            corners = {"_west": F.min, "_east": F.max, "_south": F.min, "_north": F.max}
+            coarser = finer.groupBy(*NODE).agg(*[least(c).alias(c) for c, least in corners.items()])
+            levels.append(scratch.store(coarser, "plots"))
+        return levels[::-1]
+
+    def _roots(self) -> DataFrame:
+        """For each cell the top nodes from which some place reaches it."""
+        x, y = self.point
+        own = {c: f"_from{c}" for c in CELL}
+        reaching = self.placed.select(x, y, *CELL).withColumnsRenamed(own)
+        pairs = _in_reached_cells(reaching, self.point, self.grid).select(*CELL, *own.values()).distinct()
+        roots = pairs.join(self._at(0).withColumnsRenamed(own), list(own.values()))
+        cells = dict(zip(CELL, PLOT[:2], strict=True))
+        return scratch.store(roots.withColumnsRenamed(cells).withColumnsRenamed({f: c for c, f in own.items()}), "roots")
 
     def search(self, searchers: DataFrame, point: Point) -> DataFrame:
-        """Pairs (left point, right place) among which is the nearest place of
-        every left point that has one in the radius."""
-        radius = F.lit(float(self.grid.radius_m))
+        """Distance ``_d`` and ``_rank`` of the nearest place of every left
+        point that has one in the radius, and of some that have none."""
         who = list(point)
-        node = [*CELL, "_row", "_column"]
-        x, y = self.point
-
-        # roots: cells from which some place reaches the cell of the left row
-        lon, lat = F.col(x), F.col(y)
-        reaching = (
-            _in_cell(self.leaves.select(x, y), self.point, self.grid)
-            .select(x, y, *[F.col(c).alias(f"_from{c}") for c in CELL])
+        located = scratch.store(_located(searchers, point, self.grid), "searchers")
+        plots = self._plots(located, point[1])
+        top = plots[0].select(
+            *[F.col(n).alias(p) for n, p in zip(NODE, PLOT, strict=True)], *_centre_and_reach("_px", "_py", "_preach")
         )
-        roots = _in_reached_cells(reaching, self.point, self.grid).select(
-            *CELL, *[f"_from{c}" for c in CELL]
-        ).distinct()
-        roots = roots.join(
-            self._at(0).select(*[F.col(c).alias(f"_from{c}") for c in CELL], "_row", "_column", "_x", "_y", "_reach"),
-            [f"_from{c}" for c in CELL],
-        )
-        roots = scratch.store(roots, "roots")
-        self.small = self.small and scratch.fits(roots, self.broadcast_bytes)
-        candidates = (
-            self._join(searchers, roots, CELL)
-            .drop(*CELL)
-            .withColumnsRenamed({f"_from{c}": c for c in CELL})
+        pairs = self._prune(self._join(top, self._roots(), PLOT[:2]))
+        lists = None
+        for level in range(self.depth + 1):
+            total = F.sum("_points").over(Window.partitionBy(*PLOT))
+            pairs = scratch.store(pairs.withColumn("_total", total), "pairs")
+            done = F.lit(level == self.depth) | (F.col("_total") <= self.list_points)
+            listed = self._lists(pairs.where(done), level)
+            lists = listed if lists is None else lists.unionByName(listed)
+            rest = pairs.where(~done)
+            if rest.isEmpty():
+                break
+            pairs = self._descend(rest.drop("_total"), plots[level + 1], level + 1)
+
+        lists = scratch.store(lists, "lists")
+        own = [
+            F.struct(F.lit(n).alias("_level"), *[_node_of(n)[c].alias(f"_plot{c}") for c in ("_row", "_column")])
+            for n in range(level + 1)
+        ]
+        cells = [F.col(c).alias(p) for c, p in zip(CELL, PLOT, strict=False)]
+        sought = located.select(*who, *cells, F.explode(F.array(*own)).alias("_own")).select(*who, *PLOT[:2], "_own.*")
+        small = scratch.fits(lists, self.broadcast_bytes)
+        met = small_or_spread_join(sought, lists.drop("_part"), ["_level", *PLOT], small, self.slice_rows)
+        found = _nearest_listed(met, point, self.point)
+        parted = lists.agg(F.max("_part")).first()[0] or 0
+        return _least(found.repartition(*who), who) if parted else found
+
+    def _lists(self, done: DataFrame, level: int) -> DataFrame:
+        """The places in the nodes of each plot, in arrays of about
+        ``list_points``; a plot has several only where many places are about
+        equally near."""
+        x, y = self.point
+        places = self.placed.withColumns(_node_of(level)).select(*NODE, x, y, "_rank")
+        listed = self._join(done.select(*PLOT, *NODE, "_total"), places, NODE)
+        parts = F.ceil(F.col("_total") / F.lit(self.list_points))
+        return (
+            listed.withColumn("_part", F.pmod(F.xxhash64(x, y), parts))
+            .groupBy(*PLOT, "_part")
+            .agg(F.collect_list(F.struct(x, y, "_rank")).alias("_places"))
+            .withColumn("_level", F.lit(level))
         )
-        candidates = self._prune(candidates, who, point, radius)
-
-        for level in range(1, self.depth + 1):
-            children = (
-                self._at(level)
-                .withColumnsRenamed({"_row": "_child_row", "_column": "_child_column"})
-                .withColumns(
-                    {
-                        "_row": F.shiftright("_child_row", _STEP_BITS),
-                        "_column": F.shiftright("_child_column", _STEP_BITS),
-                    }
-                )
-            )
-            candidates = (
-                self._join(candidates, children, node)
-                .drop("_row", "_column")
-                .withColumnsRenamed({"_child_row": "_row", "_child_column": "_column"})
-            )
-            candidates = self._prune(candidates, who, point, radius)
-        pairs = self._join(candidates, self.leaves, node)
-        return pairs.withColumn("_d", _distance(point, self.point))
-
-    def _join(self, left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        return small_or_spread_join(left, right, on, self.small, self.slice_rows)
-
-    def _prune(self, candidates: DataFrame, who: list[str], point: Point, radius: Column) -> DataFrame:
-        """Drop nodes that cannot hold the nearest place. A left row has a few
-        dozen candidate nodes at most, so the window stays small."""
-        to_centre = haversine_m(F.col(point[0]), F.col(point[1]), F.col("_x"), F.col("_y"))
-        farthest = F.min(F.col("_to") + F.col("_reach")).over(Window.partitionBy(*who))
+
+    def _descend(self, pairs: DataFrame, plots: DataFrame, level: int) -> DataFrame:
+        """The same pairs one level deeper: first the plots are cut, then,
+        of what is left, the nodes."""
+        inner = {"_row": "_inner_row", "_column": "_inner_column"}
+        outer = {c: F.shiftright(F.col(i), _STEP_BITS) for c, i in inner.items()}
+        finer = plots.select(*NODE, *_centre_and_reach("_px", "_py", "_preach")).withColumnsRenamed(inner).withColumns(outer)
+        finer = finer.withColumnsRenamed(dict(zip(NODE, PLOT, strict=True)))
+        cut = self._join(pairs.drop("_px", "_py", "_preach"), finer, PLOT).drop("_plot_row", "_plot_column")
+        cut = self._prune(cut.withColumnsRenamed({i: f"_plot{c}" for c, i in inner.items()}))
+        children = self._at(level).withColumnsRenamed(inner).withColumns(outer)
+        cut = self._join(cut.drop("_x", "_y", "_reach", "_points"), children, NODE).drop("_row", "_column")
+        return self._prune(cut.withColumnsRenamed({i: c for c, i in inner.items()}))
+
+    def _join(self, pairs: DataFrame, nodes: DataFrame, on: list[str]) -> DataFrame:
+        nodes = scratch.store(nodes, "side")
+        small = scratch.fits(nodes, self.broadcast_bytes)
+        return small_or_spread_join(pairs if small else scratch.store(pairs, "pairs"), nodes, on, small, self.slice_rows)
+
+    def _prune(self, pairs: DataFrame) -> DataFrame:
+        """Drop nodes that cannot hold the nearest place of any point of the
+        plot. A plot has a few dozen nodes, so the window stays small."""
+        to_centre = haversine_m(F.col("_px"), F.col("_py"), F.col("_x"), F.col("_y"))
+        reach = F.col("_reach") + F.col("_preach")
+        farthest = F.min(F.col("_to") + reach).over(Window.partitionBy(*PLOT))
         slack = F.lit(1e-3)
         return (
-            candidates.withColumn("_to", to_centre)
-            .where(F.col("_to") - F.col("_reach") <= radius + slack)
+            pairs.withColumn("_to", to_centre)
+            .where(F.col("_to") - reach <= F.lit(float(self.grid.radius_m)) + slack)
             .withColumn("_bound", farthest)
-            .where(F.col("_to") - F.col("_reach") <= F.col("_bound") + slack)
-            .drop("_x", "_y", "_reach", "_to", "_bound")
+            .where(F.col("_to") - reach <= F.col("_bound") + slack)
+            .drop("_to", "_bound")
         )

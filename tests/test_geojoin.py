@@ -165,3 +165,51 @@ def test_nearest_plan_makes_no_pairs_and_no_sorted_aggregate(spark, monkeypatch)
     plans.append(nearest_within(*frames(spark, cloud(1, CENTRES, 5, 0.1), cloud(2, CENTRES, 5, 0.1)), ["k"], 5000.0, ["name"])._jdf.queryExecution().executedPlan().toString())
     text = "\n".join(plans)
     assert "SortAggregate" not in text and "NestedLoop" not in text and "array_min" in text
+
+
+def _exchanges_of(plan, columns):
+    """Shuffles whose rows carry all these columns."""
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        return _exchanges_of(plan.initialPlan(), columns)
+    names = {plan.output().apply(i).name() for i in range(plan.output().size())}
+    own = plan.nodeName() == "Exchange" and columns <= names
+    children = plan.children()
+    return own + sum(_exchanges_of(children.apply(i), columns) for i in range(children.size()))
+
+
+def test_the_search_of_crowded_cells_shuffles_the_left_points_twice_at_most(spark, monkeypatch):
+    """However deep the tree, with nothing broadcast and lists in several parts."""
+    monkeypatch.setattr(scratch, "BROADCAST_BYTES", -1)
+    plans, depths = [], []
+    real_store, real_search = scratch.store, geojoin._PointTree.search
+
+    def watched_search(self, *a):
+        monkeypatch.setattr(scratch, "store", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan()) or real_store(df, name))
+        found = real_search(self, *a)
+        plans.append(found._jdf.queryExecution().executedPlan())
+        monkeypatch.setattr(scratch, "store", real_store)
+        depths.append(self.depth)
+        return found
+
+    monkeypatch.setattr(geojoin._PointTree, "search", watched_search)
+    left, right = cloud(21, [(139.7, 35.6)], 60, 0.02), cloud(22, [(139.7, 35.6)], 60, 0.02) + cloud(23, [(139.71, 35.61)], 60, 0.00002)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = nearest(*frames(spark, left, right), 5_000.0, cell_points=2, node_points=2, slice_rows=50)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == brute_nearest(left, right, 5_000.0)
+    assert depths[0] >= 4
+    assert 1 <= sum(_exchanges_of(plan, {"lon", "lat"}) for plan in plans) <= 2
+
+
+def test_a_dense_spot_far_off_and_equally_near_places(spark):
+    """All left points away from a spot with most places; a ring of places
+    around one of them, all in one list of several parts."""
+    ring = [(10.0 + 0.01 * math.cos(a / 20 * math.pi), 0.01 * math.sin(a / 20 * math.pi)) for a in range(40)]
+    left = [(10.0, 0.0)] + cloud(24, [(139.70, 35.60)], 30, 0.005)
+    right = ring + cloud(25, [(139.73, 35.60)], 200, 0.00001)
+    want = brute_nearest(left, right, 5_000.0)
+    got = nearest(*frames(spark, left, right), 5_000.0, cell_points=8, node_points=4)
+    assert {k: d for k, (_, d) in got.items()} == {k: d for k, (_, d) in want.items()} and len(got) > 20
+    assert {k: v for k, v in got.items() if k != "b0"} == {k: v for k, v in want.items() if k != "b0"}
