@@ -162,7 +162,9 @@ def spread_join(
         .withColumn("_lslot", _every_slot(F.col("_ls")))
         .drop("_ls", "_rs", "_rrow")
     )
-    pairs = left_rows.join(right_rows, [*keys, "_lslot", "_rslot"]).drop("_lslot", "_rslot")
+    # the optimizer knows the sizes before the copies are made, so its own
+    # choice may be to broadcast all copies of one side, through the driver
+    pairs = left_rows.join(right_rows.hint("merge"), [*keys, "_lslot", "_rslot"]).drop("_lslot", "_rslot")
     return left_cold.join(right_cold, keys).unionByName(pairs)
 
 

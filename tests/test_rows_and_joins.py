@@ -1,6 +1,8 @@
 """Global row numbers, medians, pivots, unions and skew-proof joins."""
 
 import random
+import re
+import re
 import statistics
 
 import pytest
@@ -152,6 +154,15 @@ def test_spread_join_splits_exact_copies(spark, never_broadcast):
     assert max(per_task) < 120_000 / 5
 
 
+def test_spread_join_never_broadcasts_the_copies_it_makes(spark):
+    """Their number is unknown to the optimizer, which sees small stored tables."""
+    left, right = (spark.range(300).selectExpr("id % 3 as key", f"id as {name}") for name in "lr")
+    joined = spread_join(left, right, ["key"], slice_rows=4)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert [kind for kind in ("SortMergeJoin", "BroadcastHashJoin") if re.search(rf"{kind} \[[^\]]*_lslot", plan)] == ["SortMergeJoin"]
+    assert joined.count() == 30_000
+
+
 def test_broadcast_hot_keys_are_bounded_at_any_size():
     """Keys above the threshold fit in the limit, because their rows would
     not fit in the table otherwise; the slice size is never touched."""
