@@ -7,8 +7,10 @@ every cell they can reach; a left-hand point lies in one cell.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,10 @@ CELL_POINTS = 512
 NODE_POINTS = 32
 # Points that a plot of the left side may list; every left point tries them all.
 PLOT_POINTS = 96
+# Files of the searching points per core.
+SEARCH_WAVES = 2
+# Distances that a task estimates in one step.
+_PAIRS_AT_ONCE = 1 << 19
 # Each tree level cuts a node into 4 x 4; a leaf is a millimetre-sized spot.
 _STEP_BITS = 2
 _TREE_LEVELS = 11
@@ -139,7 +145,8 @@ def nearest_within(
 
     who = list(left_point)
     spots = left.where(valid_point(*[F.col(c) for c in who])).groupBy(*who).agg(F.count(F.lit(1)).alias("_count"))
-    spots = scratch.store(spots, "spots")
+    # small in bytes but much to compute, so their files are as many as the tasks that search
+    spots = scratch.store(spots.repartition(SEARCH_WAVES * left.sparkSession.sparkContext.defaultParallelism), "spots")
     searchers = _in_cell(spots.select(*who), left_point, grid)
 
     counted = listed.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_points"))
@@ -173,9 +180,40 @@ def _metres(point: Point, lon: Column, lat: Column) -> Column:
     return haversine_m(F.col(point[0]), F.col(point[1]), lon, lat)
 
 
+def _without_farther(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a longitude, a latitude and an array of places, left with the
+    places that may be the nearest: those whose half chord is the least up to
+    far more than rounding (six micrometres). The distance itself, and ties,
+    are for Spark's own arithmetic to decide."""
+    for batch in batches:
+        ends = np.cumsum(batch.column(2).value_lengths().to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + _PAIRS_AT_ONCE, "right")))
+            part = batch.slice(start, stop - start)
+            lists = part.column(2)
+            lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+            places = lists.flatten()
+            first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+            lon, lat = (np.radians(part.column(i).to_numpy()) for i in (0, 1))
+            x, y = (np.radians(places.field(i).to_numpy()) for i in (0, 1))
+            with np.errstate(invalid="ignore"):
+                h = np.sin((y - np.repeat(lat, lengths)) / 2) ** 2
+                h += np.repeat(np.cos(lat), lengths) * np.cos(y) * np.sin((x - np.repeat(lon, lengths)) / 2) ** 2
+                chord = np.sqrt(h)
+            keep = chord <= np.repeat(np.fmin.reduceat(chord, first) * (1 + 1e-9) + 1e-12, lengths)
+            kept = np.concatenate([[0], np.cumsum(np.add.reduceat(keep, first, dtype=np.int32))]).astype(np.int32)
+            near = pa.ListArray.from_arrays(pa.array(kept), places.filter(pa.array(keep)))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), near.cast(lists.type)], names=part.schema.names)
+            start = stop
+
+
 def _nearest_listed(met: DataFrame, left_point: Point, right_point: Point) -> DataFrame:
     """The least of the array ``_places`` beside each left point."""
     x, y = right_point
+    met = met.select(*left_point, "_places")
+    met = met.mapInArrow(_without_farther, met.schema)
     near = F.array_min(
         F.transform("_places", lambda p: F.struct(_metres(left_point, p[x], p[y]).alias("_d"), p["_rank"].alias("_rank")))
     )

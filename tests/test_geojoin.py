@@ -3,6 +3,7 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -213,3 +214,22 @@ def test_a_dense_spot_far_off_and_equally_near_places(spark):
     got = nearest(*frames(spark, left, right), 5_000.0, cell_points=8, node_points=4)
     assert {k: d for k, (_, d) in got.items()} == {k: d for k, (_, d) in want.items()} and len(got) > 20
     assert {k: v for k, v in got.items() if k != "b0"} == {k: v for k, v in want.items() if k != "b0"}
+
+
+def test_the_search_is_dealt_over_many_tasks(spark, monkeypatch):
+    """Few points are few bytes, but each is compared with hundreds of places."""
+    stored, real = {}, scratch.store
+    monkeypatch.setattr(scratch, "store", lambda df, name: stored.setdefault(name, real(df, name)))
+    nearest(*frames(spark, cloud(31, CENTRES, 60, 0.1), cloud(32, CENTRES, 5, 0.1)), 5_000.0)
+    assert len(stored["spots"].inputFiles()) > spark.sparkContext.defaultParallelism
+
+
+def test_only_places_that_may_be_the_nearest_reach_the_exact_distance(monkeypatch):
+    monkeypatch.setattr(geojoin, "_PAIRS_AT_ONCE", 7)
+    places = [[(0.01 * i, 0.0, i) for i in range(1, 6)], [(1.01, 0.0, 7), (0.99, 0.0, 8), (1.5, 0.0, 9)], [(5.0, 5.0, 3)]]
+    kind = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64()), ("_rank", pa.int64())]))
+    lists = pa.array([[dict(zip(("x", "y", "_rank"), p, strict=True)) for p in row] for row in places], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array([0.0, 1.0, 2.0]), pa.array([0.0] * 3), lists], names=["lon", "lat", "_places"])
+    parts = list(geojoin._without_farther(iter([batch.slice(0, 1), batch.slice(1)])))
+    assert [[p["_rank"] for p in row] for part in parts for row in part.column(2).to_pylist()] == [[1], [7, 8], [3]]
+    assert [v for part in parts for v in part.column(0).to_pylist()] == [0.0, 1.0, 2.0]
