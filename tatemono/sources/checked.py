@@ -7,6 +7,8 @@ good rows and rejects are read from there.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,14 +44,23 @@ class Checked:
     rejects: DataFrame
 
 
+def _loses_digits(text: Column, kind: T.DataType) -> Column | None:
+    """Whether a number has more digits than its type keeps; None where any fit."""
+    if not isinstance(kind, (T.DecimalType, T.IntegralType)):
+        return None
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+    # the plain test for a point spares most texts the pattern
+    return text.contains(".") & text.rlike(rf"^[^eE]*\.\d{{{scale}}}\d*[1-9]")
+
+
 def _reason(text: Column, typed: Column, kind: T.DataType) -> Column:
     """Why a text does not fit, NULL if it does."""
     lost = typed.isNull()
+    loses = _loses_digits(text, kind)
     if isinstance(kind, T.NumericType):
         why = F.when(lost & text.try_cast("double").isNull(), NOT_A_NUMBER)
-        if isinstance(kind, (T.DecimalType, T.IntegralType)):
-            scale = kind.scale if isinstance(kind, T.DecimalType) else 0
-            why = why.when(text.rlike(rf"^[^eE]*\.\d{{{scale}}}\d*[1-9]"), LOSES_DIGITS)
+        if loses is not None:
+            why = why.when(loses, LOSES_DIGITS)
         return why.when(lost, OUT_OF_RANGE)
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.when(lost, NOT_A_TIME)
@@ -85,14 +96,21 @@ def check(raw: DataFrame, schema: str, file: Column, row: Column, record: Column
             typed.append(F.when(whole, text).alias(field.name))
             continue
         value = text.try_cast(field.dataType)
-        why = _reason(text, value, field.dataType)
-        complaints.append((whole & text.isNotNull() & why.isNotNull(), F.lit(field.name), text, why))
-        typed.append(F.when(whole & why.isNull(), value).alias(field.name))
+        if isinstance(field.dataType, T.DecimalType):
+            # a text that is no number costs an exception; most such have no digit
+            value = F.when(text.rlike(r"\p{Nd}"), value)
+        loses = _loses_digits(text, field.dataType)
+        unfit = value.isNull() if loses is None else value.isNull() | loses
+        complaints.append((text.isNotNull() & unfit & whole, F.lit(field.name), text, _reason(text, value, field.dataType)))
+        fits = text.isNotNull() & whole if loses is None else text.isNotNull() & ~loses & whole
+        typed.append(F.when(fits, value).alias(field.name))
     found = [
         F.when(bad, F.struct(name.cast("string").alias("column"), text.alias("text"), why.alias("reason")))
         for bad, name, text, why in complaints
     ]
-    bad = F.array_compact(F.array(*found)) if found else F.array()
+    # most rows have no complaint, and only the others need the list of all columns
+    nothing = F.array().cast(_COMPLAINT)
+    bad = F.when(reduce(or_, [c[0] for c in complaints]), F.array_compact(F.array(*found))).otherwise(nothing) if found else nothing
     stored = scratch.store(
         raw.select(
             *typed, file.alias(_PATH), F.xxhash64(file).alias(ROW_ADDRESS[0]), row.alias(ROW_ADDRESS[1]),

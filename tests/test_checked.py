@@ -1,5 +1,6 @@
 """Dirty feeds: typed rows, rejects with address, column, text and reason."""
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -91,3 +92,15 @@ def test_a_run_lists_rejects(spark, tmp_path, lenient):
     assert landed["stations"].columns == spark.createDataFrame([], schemas.STATIONS).columns
     listed = readers.read_model(spark, str(tmp_path / "rejects" / "stations")).collect()
     assert [(r["column"], r["text"], r["reason"]) for r in listed] == [("latitude", "north", checked.NOT_A_NUMBER)]
+
+
+def test_rows_without_a_complaint_skip_the_list_of_all_columns(spark, monkeypatch):
+    plans, real = [], scratch.store
+    monkeypatch.setattr(scratch, "store", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, name))
+    raw = spark.createDataFrame([("1", "2"), (None, None), ("1.5", "two"), ("9e9", "1e1")], "n string, m string")
+    found = checked.check(raw, "n INT, m INT", F.lit("f"), F.lit(0))
+    assert re.search(r"THEN (\w+\()*filter\(", plans[0])
+    assert {tuple(r)[2:] for r in found.rejects.collect()} == {
+        ("n", "1.5", checked.LOSES_DIGITS), ("m", "two", checked.NOT_A_NUMBER), ("n", "9e9", checked.OUT_OF_RANGE), ("m", "1e1", checked.OUT_OF_RANGE),
+    }
+    assert [tuple(r)[:2] for r in found.good.orderBy("n").collect()] == [(None, None), (1, 2)]

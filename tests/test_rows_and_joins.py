@@ -2,7 +2,6 @@
 
 import random
 import re
-import re
 import statistics
 
 import pytest
