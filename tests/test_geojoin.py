@@ -143,6 +143,28 @@ def test_grid_join_plan_has_no_nested_loop(spark, never_broadcast, capsys):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
 
 
+def test_a_large_radius_join_reads_the_left_side_once_and_has_tasks_by_its_tests(spark, monkeypatch):
+    """The sides are few bytes: adaptive execution would bring them together
+    in one task, and the optimizer would broadcast the right one."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    left, right = cloud(41, [(139.5, 35.5)], 300, 0.3), cloud(42, [(139.5, 35.5)], 200, 0.3)
+    lefts, rights = frames(spark, left, right)
+    monkeypatch.setattr(geojoin, "TASK_PAIRS", 100)
+    pairs = radius_join(lefts.mapInArrow(seen, lefts.schema), rights, 5000.0, broadcast_bytes=0)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    got = pairs.select("k", "name", F.spark_partition_id().alias("task")).collect()
+    assert {(r["k"], r["name"]) for r in got} == brute_pairs(left, right, 5000.0) and len(got) > 300
+    assert reads.value == len(left)
+    assert len({r["task"] for r in got}) > 2 * spark.sparkContext.defaultParallelism
+
+
 def test_a_missing_name_loses_a_tie(spark):
     left = spark.createDataFrame([("k", 0.0, 0.0)], "k string, lon double, lat double")
     right = spark.createDataFrame(
