@@ -7,6 +7,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from tatemono.operators import joins
 from tatemono.operators import rows as rows_module
 from tatemono.operators.joins import broadcast_threshold, lookup_join, spread_join
 from tatemono.operators.rows import conditional_pivot, exact_medians, global_row_number, tagged_union
@@ -162,6 +163,25 @@ def test_spread_join_never_broadcasts_the_copies_it_makes(spark):
     assert joined.count() == 30_000
 
 
+def test_spread_join_does_not_copy_rows_once_per_small_slice(spark, monkeypatch):
+    """Slices of four rows made 250,000 copies of either side for these 1,000,000 pairs."""
+    left, right = (spark.range(1000).selectExpr("'hot' as key", f"id as {name}") for name in "lr")
+    copies, real = [], type(left).hint
+    monkeypatch.setattr(type(left), "hint", lambda self, *a: copies.append(self.count()) or real(self, *a))
+    joined = spread_join(left, right, ["key"], slice_rows=4)
+    assert copies == [1000 * joins.GRID_COPIES]
+    found = joined.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("l", "r").alias("pairs")).first()
+    assert found["n"] == found["pairs"] == 1_000_000
+
+
+def test_slices_of_a_grid_grow_to_a_full_one_and_no_further(spark):
+    counts = spark.createDataFrame([(n,) for n in (1, 5, 64, 65, 6000, 320_000, 10**6, 10**12)], "n long")
+    few = counts.select(joins._grid_slices(F.col("n"), 4)).collect()
+    assert [r[0] for r in few] == [1, 2, 16, 16, 16, 16, 50, 50_000_000]
+    many = counts.select(joins._grid_slices(F.col("n"), 200_000)).collect()
+    assert [r[0] for r in many] == [1, 1, 1, 1, 1, 2, 5, 5_000_000]
+
+
 def test_broadcast_hot_keys_are_bounded_at_any_size():
     """Keys above the threshold fit in the limit, because their rows would
     not fit in the table otherwise; the slice size is never touched."""
